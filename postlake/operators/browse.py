@@ -126,20 +126,16 @@ def new_matches(matches: DataFrame, app_state: DataFrame, threshold: float) -> D
     return matches.filter(F.col("match_score") >= threshold).filter(fresh)
 
 
-def compare(postings: DataFrame, attributes: list[str], key: str = "posting_id",
-            ids: list[str] | None = None, slot: str | None = None) -> DataFrame:
-    """Two or three postings side by side: one row per attribute, one column per posting.
-
-    Columns are named by id, or by a ``slot`` column that already numbers them.
-    """
-    chosen = postings if ids is None else postings.filter(F.col(key).isin(*ids))
-    name = slot or key
+def compare(postings: DataFrame, attributes: list[str], values: list[str],
+            name: str = "posting_id") -> DataFrame:
+    """Two or three postings side by side: a row per attribute, a column per posting."""
     pairs = F.explode(F.array(*[
         F.struct(F.lit(a).alias("attribute"), F.col(a).cast("string").alias("value"))
         for a in attributes]))
-    long = chosen.select(F.col(name).cast("string").alias("_slot"), pairs.alias("p"))
-    return (long.select("_slot", "p.attribute", "p.value")
-            .groupBy("attribute").pivot("_slot", ids).agg(F.first("value")))
+    long = (postings.filter(F.col(name).isin(*values))
+            .select(F.col(name).alias("_name"), pairs.alias("p"))
+            .select("_name", "p.attribute", "p.value"))
+    return long.groupBy("attribute").pivot("_name", values).agg(F.first("value"))
 
 
 def source_distribution(facts: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from postlake import vocabulary as V
@@ -68,29 +68,36 @@ def hiring_velocity(star: Star, as_of) -> DataFrame:
             .agg(F.count_distinct("posting_id").alias("postings_posted")))
 
 
-def company_activity(star: Star, as_of,
-                     closed_after_days: int = V.ACTIVITY_CLOSED_AFTER_DAYS) -> DataFrame:
-    """Counts per company.
+def activity(df: DataFrame, entity: str, item: str, first: str, last: str, as_of,
+             closed_after_days: int) -> DataFrame:
+    """Distinct items per entity, split by whether they were last seen before the cut.
 
-    Facts are first reduced to one row per company and posting, which makes every
-    distinct count a plain sum and lets a hot company combine before the second
-    shuffle.  A posting with rows on both sides of the cut counts on both.
+    Rows are first reduced to one per entity and item, which makes every distinct
+    count a plain sum and lets a hot entity combine before the second shuffle.  An
+    item with rows on both sides of the cut counts on both.
     """
-    old = F.col("last_seen_at") < moment(as_of, closed_after_days)
-    per_posting = star.facts.groupBy("company_id", "posting_id").agg(
-        F.max(F.when(old, 1).otherwise(0)).alias("closed"),
-        F.max(F.when(~old, 1).otherwise(0)).alias("active"),
-        F.min("first_seen_at").alias("first_seen"),
-        F.max("last_seen_at").alias("last_seen"),
+    old = F.col(last) < moment(as_of, closed_after_days)
+    per_item = df.groupBy(entity, item).agg(
+        F.max(F.when(old, 1).otherwise(0)).alias("_closed"),
+        F.max(F.when(~old, 1).otherwise(0)).alias("_active"),
+        F.min(first).alias("_first"), F.max(last).alias("_last"),
     )
-    per_company = per_posting.groupBy("company_id").agg(
-        F.count("posting_id").alias("total_postings"),
-        F.sum("closed").alias("likely_closed_postings"),
-        F.sum("active").alias("active_postings"),
-        F.min("first_seen").alias("earliest_first_seen"),
-        F.max("last_seen").alias("latest_last_seen"),
+    return per_item.groupBy(entity).agg(
+        F.count(item).alias("total_postings"),
+        F.sum("_closed").alias("likely_closed_postings"),
+        F.sum("_active").alias("active_postings"),
+        F.min("_first").alias("earliest_first_seen"),
+        F.max("_last").alias("latest_last_seen"),
     )
-    return _with_company(per_company, star).select(
+
+
+def company_activity(star: Star, as_of,
+                     closed_after_days: int = V.ACTIVITY_CLOSED_AFTER_DAYS) -> DataFrame:
+    """Activity per company; names join the aggregate, not the facts."""
+    facts = star.facts.select("company_id", "posting_id", "first_seen_at", "last_seen_at")
+    counts = activity(facts, "company_id", "posting_id", "first_seen_at", "last_seen_at",
+                      as_of, closed_after_days)
+    return _with_company(counts, star).select(
         "company_id", "company_name", "total_postings", "likely_closed_postings",
         "active_postings", "earliest_first_seen", "latest_last_seen")
 
@@ -111,12 +118,24 @@ def role_market(star: Star, as_of) -> DataFrame:
     )
 
 
-def posting_seasonality(star: Star, as_of) -> DataFrame:
-    """Postings per family, source and month, with calendar labels.
+def seasonality(df: DataFrame, keys: list[str], item: str, date_col: str, flag: str,
+                count: str, flagged: str) -> DataFrame:
+    """Distinct items and flagged rows per keys and month, with calendar labels.
 
-    Grouped by family, source and year-month only: every label follows from those,
-    so it is added afterwards, to one row per group.
+    Grouped by the month alone: every label follows from it, so labels are added
+    afterwards, to one row per group.
     """
+    months = df.groupBy(*keys, F.trunc(date_col, "month").alias("_m")).agg(
+        F.count_distinct(item).alias(count), F.sum(flag).alias(flagged))
+    m = F.col("_m")
+    return months.select(
+        *keys, season(m).alias("season"), quarter_label(m).alias("quarter"),
+        F.year(m).alias("posting_year"), F.month(m).alias("month_of_year"),
+        F.date_format(m, "MMMM").alias("month_name"), year_month(m).alias("year_month"),
+        count, flagged)
+
+
+def posting_seasonality(star: Star, as_of) -> DataFrame:
     pay = star.details.select("posting_id", "is_fresher", "experience_level")
     live = (star.facts.select("posting_id", "source_id", "role_family", "date_posted")
             .join(pay, "posting_id", "left"))
@@ -125,20 +144,25 @@ def posting_seasonality(star: Star, as_of) -> DataFrame:
     live = live.withColumn("fresh", F.when(fresh, 1).otherwise(0)).drop("is_fresher", "experience_level")
     archived = star.archive.select("posting_id", "source_id", "role_family", "date_posted",
                                    F.lit(0).alias("fresh"))
-    months = (
-        live.unionByName(archived)
-        .groupBy("role_family", "source_id", F.trunc(_or_today(as_of), "month").alias("m"))
-        .agg(F.count_distinct("posting_id").alias("posting_count"),
-             F.sum("fresh").alias("fresher_postings_count"))
-    )
-    m = F.col("m")
+    dated = live.unionByName(archived).withColumn("date_posted", _or_today(as_of))
+    months = seasonality(dated, ["role_family", "source_id"], "posting_id", "date_posted", "fresh",
+                         "posting_count", "fresher_postings_count")
+    domain = decode(F.col("role_family"), V.ROLE_LABELS, V.ROLE_LABEL_DEFAULT)
     return months.select(
-        "role_family",
-        decode(F.col("role_family"), V.ROLE_LABELS, V.ROLE_LABEL_DEFAULT).alias("domain_name"),
-        season(m).alias("season"), quarter_label(m).alias("quarter"),
-        F.year(m).alias("posting_year"), F.month(m).alias("month_of_year"),
-        F.date_format(m, "MMMM").alias("month_name"), year_month(m).alias("year_month"),
-        "source_id", "posting_count", "fresher_postings_count")
+        "role_family", domain.alias("domain_name"), "season", "quarter", "posting_year",
+        "month_of_year", "month_name", "year_month", "source_id", "posting_count",
+        "fresher_postings_count")
+
+
+def pay_stats(df: DataFrame, keys: list, item: str, low: str, high: str) -> DataFrame:
+    """Distinct items and the spread of a low and a high figure per group."""
+    return df.groupBy(*keys).agg(
+        F.count_distinct(item).alias("postings_with_salary"),
+        steady_round(F.min(low), 2).alias("min_salary_lowest"),
+        steady_round(F.avg(low), 2).alias("avg_salary_min"),
+        steady_round(F.avg(high), 2).alias("avg_salary_max"),
+        steady_round(F.max(high), 2).alias("max_salary_highest"),
+    )
 
 
 def salary_summary(star: Star, as_of) -> DataFrame:
@@ -150,33 +174,32 @@ def salary_summary(star: Star, as_of) -> DataFrame:
     paid = (star.details.select("posting_id", "salary_min", "salary_max", "currency")
             .filter(F.col("salary_min").isNotNull() | F.col("salary_max").isNotNull()))
     joined = _with_location(posts.join(paid, "posting_id", "inner"), star)
-    return joined.groupBy(
+    return pay_stats(joined, [
         "role_family", F.coalesce("location", F.lit("Unknown")).alias("location"), "source_id",
         F.coalesce("currency", F.lit("Unknown")).alias("currency"),
-    ).agg(
-        F.count_distinct("posting_id").alias("postings_with_salary"),
-        steady_round(F.min("salary_min"), 2).alias("min_salary_lowest"),
-        steady_round(F.avg("salary_min"), 2).alias("avg_salary_min"),
-        steady_round(F.avg("salary_max"), 2).alias("avg_salary_max"),
-        steady_round(F.max("salary_max"), 2).alias("max_salary_highest"),
+    ], "posting_id", "salary_min", "salary_max")
+
+
+def completeness(df: DataFrame, group: str, item: str, owner: str, incomplete: str,
+                 measure: str) -> DataFrame:
+    """Items, owners and incomplete rows per group; the percentage is rows over distinct items."""
+    counts = df.groupBy(group).agg(
+        F.count_distinct(item).alias("total_postings"),
+        F.count_distinct(owner).alias("distinct_companies"),
+        F.sum(F.when(F.col(incomplete), 1).otherwise(0)).alias("incomplete_postings"),
+        F.min(measure).alias("earliest_posting_date"),
+        F.max(measure).alias("latest_posting_date"),
     )
+    share = percent(F.col("incomplete_postings"), F.col("total_postings"))
+    return counts.select(
+        group, "total_postings", "distinct_companies", "incomplete_postings",
+        share.alias("incomplete_percentage"), "earliest_posting_date", "latest_posting_date")
 
 
 def source_quality(star: Star, as_of) -> DataFrame:
-    """Completeness per source; the percentage divides rows by distinct postings."""
     posts = live_and_archived(star, "posting_id", "company_id", "source_id", "date_posted",
                               "is_incomplete")
-    counts = posts.groupBy("source_id").agg(
-        F.count_distinct("posting_id").alias("total_postings"),
-        F.count_distinct("company_id").alias("distinct_companies"),
-        F.sum(F.when(F.col("is_incomplete"), 1).otherwise(0)).alias("incomplete_postings"),
-        F.min("date_posted").alias("earliest_posting_date"),
-        F.max("date_posted").alias("latest_posting_date"),
-    )
-    share = percent(F.col("incomplete_postings"), F.col("total_postings"))
-    return counts.select(
-        "source_id", "total_postings", "distinct_companies", "incomplete_postings",
-        share.alias("incomplete_percentage"), "earliest_posting_date", "latest_posting_date")
+    return completeness(posts, "source_id", "posting_id", "company_id", "is_incomplete", "date_posted")
 
 
 def application_funnel(star: Star, as_of) -> DataFrame:
@@ -190,8 +213,6 @@ def status_share(df: DataFrame, status: str, date_col: str, key: str) -> DataFra
 
     The window runs over the aggregate: a handful of rows per month.
     """
-    from pyspark.sql import Window
-
     counts = df.groupBy(status, year_month(F.col(date_col)).alias("month")).agg(
         F.count_distinct(key).alias("n"))
     total = F.sum("n").over(Window.partitionBy("month"))

@@ -166,7 +166,10 @@ def job_match(star: Star, as_of, profile_id: str = "default",
 _KINDS = tuple(V.SENIORITY_SCORES)
 _SPREAD = V.MATCH_WEIGHTS["salary"] * (V.SALARY_FIT - V.SALARY_MISFIT) * 100.0
 _ROUNDING = 0.11  # scores are ranked after rounding to one decimal
-_RANK = [F.desc_nulls_last("best_salary"), F.asc("posting_id")]
+
+
+def _rank() -> list[Column]:
+    return [F.desc_nulls_last("best_salary"), F.asc("posting_id")]
 
 
 def _tops(df: DataFrame, keys: list[str], order: list[Column], k: int) -> DataFrame:
@@ -196,7 +199,7 @@ def segment_tops(star: Star, as_of, k: int) -> DataFrame:
         best_salary(F.col("salary_min"), F.col("salary_max")).alias("best_salary"),
     ).withColumn("paid", F.col("best_salary").isNotNull())
     keys = ["role_family", "skill", "listed", "seniority", "recency", "paid"]
-    return _tops(segments, keys, _RANK, k).drop("_rn")
+    return _tops(segments, keys, _rank(), k).drop("_rn")
 
 
 def profile_classes(profiles: DataFrame) -> DataFrame:
@@ -243,13 +246,13 @@ def match_profiles(star: Star, profiles: DataFrame, as_of, k: int = 5) -> DataFr
              .filter(F.col("base") >= F.col("floor") - F.lit(_SPREAD + _ROUNDING))
              .withColumn("paid", F.col("best_salary").isNotNull()))
     # Equal base and both paid or both unpaid: the same order for every profile again.
-    reach = _tops(reach, [*class_keys, "base", "paid"], _RANK, k).select(
+    reach = _tops(reach, [*class_keys, "base", "paid"], _rank(), k).select(
         *class_keys, "posting_id", "base", "best_salary")
     pay = F.lit(V.MATCH_WEIGHTS["salary"] * 100.0) * salary_factor(
         F.col("best_salary"), F.col("min_salary"))
     scored = people.join(reach, class_keys, "inner").select(
         "profile_id", "posting_id", "best_salary",
         steady_round(F.col("base") + pay, 1).alias("match_score"))
-    ranked = _tops(scored, ["profile_id"], [F.desc("match_score"), *_RANK], k)
+    ranked = _tops(scored, ["profile_id"], [F.desc("match_score"), *_rank()], k)
     return ranked.select("profile_id", "posting_id", "match_score",
                          F.col("_rn").alias("match_rank"))

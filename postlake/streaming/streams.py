@@ -43,15 +43,17 @@ def daily_counts(records: DataFrame, ts: str, keys: list[str], delay: str = "1 d
 
 def upsert_stream(records: DataFrame, store: Snapshots, table: str, keys: list[str],
                   update: dict[str, Rule], checkpoint: str, order: list[Column] | None = None,
-                  mode: str = "append") -> StreamingQuery:
+                  mode: str = "append",
+                  prepare: Callable[[DataFrame], DataFrame] = lambda batch: batch) -> StreamingQuery:
     """Merge every micro-batch into a snapshot table with the batch operator.
 
+    ``prepare`` shapes a micro-batch first, for one to aggregate it by key.
     The snapshot takes the batch's number, so a batch replayed after a failure
     finds its commit done and changes nothing.
     """
     def merge(batch: DataFrame, batch_id: int) -> None:
-        store.commit(table, merge_upsert(store.read(table), batch, keys, update, order),
-                     number=batch_id + 1)
+        merged = merge_upsert(store.read(table), prepare(batch), keys, update, order)
+        store.commit(table, merged, number=batch_id + 1)
 
     return _for_each(records, merge, checkpoint, mode)
 
