@@ -15,7 +15,7 @@ from postlake.functions.experience import with_experience
 from postlake.operators import dedup, dims, quality, tagging
 from postlake.operators.normalize import normalize
 from postlake.plans import star as S
-from postlake.session import scratch_path
+from postlake.session import scratch_path, spread
 from postlake.sources import landing
 from postlake.sources.config import flatten_directory
 from postlake.sources.schemas import seed_skills
@@ -70,8 +70,8 @@ def list_detail_join(spark, sf_dir):
     """Orders list ids; line items are their details, those flagged A not being objects."""
     listed = table(spark, sf_dir, "orders", "o_orderkey")
     item = F.struct(F.col("l_linenumber").alias("line"), F.col("l_extendedprice").alias("price"))
-    details = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_extendedprice",
-                    "l_returnflag").select(
+    details = spread(table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_extendedprice",
+                           "l_returnflag")).select(
         F.col("l_orderkey").alias("o_orderkey"),
         F.when(F.col("l_returnflag") == "A", F.to_json(F.array(item)))
         .otherwise(F.to_json(item)).alias("payload"))
@@ -110,7 +110,7 @@ def quarantine_split(spark, sf_dir):
     """Events with some payloads cut short, some unsupported countries, one unknown source."""
     country = F.get(F.array(*map(F.lit, ("de", "fr", "xx", "us", "zz"))), (F.col("user_id") % 5).cast("int"))
     cut = F.col("props").substr(F.lit(1), F.length("props") - 1)
-    tried = table(spark, sf_dir, "events", "event_id", "user_id", "event_type", "props").select(
+    tried = spread(table(spark, sf_dir, "events", "event_id", "user_id", "event_type", "props")).select(
         "event_type", country.alias("country"),
         F.when(F.col("event_id") % 50 == 7, cut).otherwise(F.col("props")).alias("payload"))
     parsed = landing.split_malformed(tried)
@@ -166,7 +166,7 @@ WITH t AS (SELECT page_id, trim(regexp_replace(regexp_replace(html, '<[^>]+>', '
 SELECT page_id, CAST(length(t) AS INTEGER) AS n_chars, md5(t) AS text_md5 FROM t""")
 def html_strip(spark, sf_dir):
     plain = text.strip_markup(F.col("html"))
-    return (table(spark, sf_dir, "pages", "page_id", "html").withColumn("t", plain)
+    return (spread(table(spark, sf_dir, "pages", "page_id", "html")).withColumn("t", plain)
             .select("page_id", F.length("t").alias("n_chars"),
                     F.md5(F.col("t").cast("binary")).alias("text_md5")))
 

@@ -19,7 +19,7 @@ from postlake.operators.lifecycle import archive_reason, is_stale
 from postlake.operators.normalize import normalize, split_unidentified
 from postlake.operators.profiles import profile_row
 from postlake.plans import star as S
-from postlake.session import scratch_path
+from postlake.session import scratch_path, spread
 from postlake.sources.landing import append_raw
 from postlake.sources.snapshots import Snapshots
 
@@ -51,7 +51,7 @@ def _pick(values, index: Column) -> Column:
 
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    orders = spread(table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_totalprice"))
     customers = table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_nationkey")
     nations = table(spark, sf_dir, "nation", "n_nationkey", "n_name")
     key = F.col("o_orderkey")
@@ -72,10 +72,10 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     boards = F.when(F.col("id") % 23 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    spread = (joined.select("*", F.explode(boards).alias("shift"))
-              .select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("pull")))
+    pulls = (joined.select("*", F.explode(boards).alias("shift"))
+             .select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("pull")))
     src = ((F.col("id") + F.col("shift")) % 5).cast("int")
-    return spread.select(
+    return pulls.select(
         "id", src.alias("src"), "pull", _pick(SOURCE_NAMES, src).alias("source_id"),
         "company", "loc",
         F.concat("title", F.when((F.col("pull") == 1) & (F.col("id") % 29 == 0), " II")

@@ -100,7 +100,7 @@ def fact_upsert_by_month(spark, sf_dir):
     target, staged = _fact_sides(spark, sf_dir)
     path = scratch_path(spark, "facts")
     (target.withColumn("posted_month", month_partition("date_posted"))
-     .repartition("posted_month").write.partitionBy("posted_month").parquet(path))
+     .hint("rebalance", "posted_month").write.partitionBy("posted_month").parquet(path))
     S.upsert_fact_months(spark, path, staged)
     return _fact_view(spark.read.parquet(path))
 

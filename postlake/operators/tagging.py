@@ -79,34 +79,43 @@ def tag_by_pattern(df: DataFrame, key: str, text: Column, terms: Sequence[str])
             .select(key, F.explode("_terms").alias("term")))
 
 
-def term_spans(text: Column, sizes: Sequence[int]) -> Column:
-    """Distinct spans of the given numbers of consecutive word / non-word runs."""
-    runs = F.regexp_extract_all(F.lower(text), F.lit(RUNS), F.lit(0))
+def _span_pattern(runs: int, word_first: bool) -> str:
+    """A zero-width match at every run start, capturing the span of so many runs.
+
+    Possessive runs never give characters back, so a span always ends at a boundary.
+    """
+    word, other = f"[{_WORD}]++", f"[^{_WORD}]++"
+    kinds = [word, other] if word_first else [other, word]
+    before = f"(?<![{_WORD}])" if word_first else f"(?<![^{_WORD}])"
+    return before + "(?=(" + "".join(kinds[i % 2] for i in range(runs)) + "))"
 
-    def of_size(size: int) -> Column:
-        if size == 1:
-            return runs
-        starts = F.when(F.size(runs) >= size, F.sequence(F.lit(1), F.size(runs) - (size - 1)))
-        spans = F.transform(starts, lambda i: F.array_join(F.slice(runs, i, size), ""))
-        return F.coalesce(spans, F.array().cast("array<string>"))
 
-    return F.array_distinct(F.concat(*[of_size(s) for s in sizes]))
+def term_spans(text: Column, shapes: Sequence[tuple[int, bool]]) -> Column:
+    """Distinct spans of the given shapes: number of runs, and whether a word run is first."""
+    lowered = F.lower(text)
+    found = [F.regexp_extract_all(lowered, F.lit(_span_pattern(*shape)), F.lit(1)) for shape in shapes]
+    return F.array_distinct(found[0] if len(found) == 1 else F.concat(*found))
 
 
-def run_count(term: Column) -> Column:
-    return F.size(F.regexp_extract_all(term, F.lit(RUNS), F.lit(0)))
+def term_shapes(words: DataFrame, term: str = "term") -> list[tuple[int, bool]]:
+    """The distinct shapes of a dictionary's terms: a handful, whatever its size."""
+    runs = F.size(F.regexp_extract_all(F.col(term), F.lit(RUNS), F.lit(0)))
+    word_first = F.col(term).rlike(f"^[{_WORD}]")
+    shapes = words.select(F.collect_set(F.struct(runs.alias("n"), word_first.alias("w")))).first()[0]
+    return sorted((row["n"], row["w"]) for row in shapes)
 
 
 def tag_by_join(df: DataFrame, key: str, text: Column, dictionary: DataFrame,
                 term: str = "term") -> DataFrame:
     """(key, term) pairs by equality with a dictionary of any size.
 
-    Only the key and the span travel to the join, never the text.  The span
-    lengths to try are read off the dictionary: a handful of numbers.
+    Only the key and the span travel to the join, never the text.
     """
-    words = dictionary.select(F.lower(term).alias("term")).distinct()
-    sizes = words.select(F.array_sort(F.collect_set(run_count(F.col("term"))))).first()[0]
-    spans = (df.select(key, term_spans(text, sizes or [1]).alias("_spans"))
+    words = dictionary.select(F.lower(term).alias("term")).filter("term <> ''").distinct()
+    shapes = term_shapes(words)
+    if not shapes:
+        return df.select(key, F.lit(None).cast("string").alias("term")).limit(0)
+    spans = (df.select(key, term_spans(text, shapes).alias("_spans"))
              .select(key, F.explode("_spans").alias("term")))
     return spans.join(words, "term").select(key, "term")
 

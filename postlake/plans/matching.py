@@ -103,12 +103,13 @@ def match_inputs(star: Star, as_of) -> DataFrame:
     place = star.locations.select("location_id", F.col("location_normalized").alias("location"))
     details = star.details.drop("description", "last_seen_at")
     hidden = star.hidden.select("posting_id").filter(F.col("posting_id").isNotNull())
+    # Everything keyed by posting first, so that one partitioning of the facts serves all three joins.
     return (
         star.facts.join(hidden, "posting_id", "left_anti")
-        .join(company, "company_id", "inner")
-        .join(place, "location_id", "left")
         .join(details, "posting_id", "left")
         .join(posting_skills(star.mentions, star.skills), "posting_id", "left")
+        .join(company, "company_id", "inner")
+        .join(place, "location_id", "left")
         .withColumns({
             "matched_skills": F.coalesce("matched_skills", F.lit("")),
             "matched_skill_count": F.coalesce("matched_skill_count", F.lit(0).cast("bigint")),

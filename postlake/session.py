@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SESSION_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -51,3 +51,13 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the scratch folder; nothing is ever reused or cleared."""
     return f"{scratch_root(spark)}/postlake/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Give a scan that has fewer splits than the session has cores one per core.
+
+    For heavy per-row work over a few small files.  A table of many files already
+    has more splits than cores and is returned as it is, without a shuffle.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)

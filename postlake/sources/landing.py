@@ -51,12 +51,14 @@ def split_unsupported_countries(df: DataFrame, country_col: str = "country",
 
 
 def is_json(text: Column) -> Column:
-    """True when the text parses as one JSON value.
+    """True when the whole text is one JSON value.
 
-    ``try_parse_json`` checks the whole text; a path lookup would accept a record
-    cut off after the member it asks for.
+    Read as the only element of an array: a path lookup, and Spark's own parsers,
+    accept a record that is cut off after the member asked for or goes on after
+    its end.
     """
-    return F.try_parse_json(text).isNotNull()
+    wrapped = F.concat(F.lit("["), text, F.lit("]"))
+    return F.coalesce(F.size(F.from_json(wrapped, "array<string>")) == 1, F.lit(False))
 
 
 def split_malformed(df: DataFrame, payload: str = "payload") -> Split:

@@ -99,9 +99,10 @@ def overwrite_touched(spark: SparkSession, path: str, merged: DataFrame, partiti
     """Replace only the partitions that ``merged`` has rows for.
 
     Spark stages the new files and moves whole partitions at commit, so the
-    untouched part of a table is neither read nor written.
+    untouched part of a table is neither read nor written.  Rebalancing gives a
+    partition one file of good size, and splits a large one over several tasks.
     """
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (merged.hint("rebalance", partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition).parquet(path))
 
 
