@@ -140,7 +140,7 @@ def change_capture(spark, sf_dir):
     """Of the second pull, the postings whose payload the first pull did not have."""
     raw = bound(spark, sf_dir).raw()
     first, second = raw.filter("run_id = 'pull-0'"), raw.filter("run_id = 'pull-1'")
-    changed = landing.unchanged_filter(second, first, ["source_id"])
+    changed = landing.changed_only(second, landing.content_hashes(first, ["source_id"]), ["source_id"])
     return normalize(changed).select("posting_id", "job_title")
 
 

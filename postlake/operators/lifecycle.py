@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postlake import vocabulary as V
-from postlake.functions.time import closing_passed, iso_text, moment, unseen_since
+from postlake.functions.time import closing_passed, day, iso_text, moment, unseen_since
 from postlake.operators.dedup import keep_first
 from postlake.operators.merge import keep_referenced
 from postlake.sources.archive import ARCHIVE
@@ -21,15 +21,19 @@ def _positive(days: int) -> int:
 
 
 def retention_split(raw: DataFrame, as_of, days: int = V.RAW_RETENTION_DAYS,
-                    ts: str = "ingested_at", source: str = "source_id") -> tuple[DataFrame, DataFrame]:
+                    ts: str = "ingested_at", source: str = "source_id",
+                    partition: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Raw rows inside the window, and the number dropped per source.
 
-    The cut is a plain comparison with a literal, so on a table partitioned by
-    landing day it prunes whole partitions.
+    ``partition`` names a column with the date of ``ts``.  Both sides are then also
+    cut by it, which leaves whole partitions unread.
     """
-    old = F.col(ts) < moment(as_of, _positive(days))
-    dropped = raw.filter(old).groupBy(source).agg(F.count(F.lit(1)).alias("rows_deleted"))
-    return raw.filter(~F.coalesce(old, F.lit(False))), dropped
+    old = F.coalesce(F.col(ts) < moment(as_of, _positive(days)), F.lit(False))
+    kept, dropped = raw.filter(~old), raw.filter(old)
+    if partition:
+        kept = kept.filter(F.col(partition) >= day(as_of, days))
+        dropped = dropped.filter(F.col(partition) <= day(as_of, days))
+    return kept, dropped.groupBy(source).agg(F.count(F.lit(1)).alias("rows_deleted"))
 
 
 def is_stale(as_of, days: int = V.POSTING_RETENTION_DAYS) -> Column:

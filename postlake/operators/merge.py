@@ -34,13 +34,21 @@ def either(target: Column, source: Column) -> Column:
     return target | source
 
 
-def _full_join(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
-    """Target and source side by side on NULL-safe keys, as ``t_*`` and ``s_*``."""
+def _full_join(target: DataFrame, source: DataFrame, keys: list[str],
+               nullable: list[str] | None = None) -> DataFrame:
+    """Target and source side by side, as ``t_*`` and ``s_*``.
+
+    Keys in ``nullable`` (by default all) also match NULL with NULL.  A key that
+    is never NULL is better left out: a plain equality can use a partitioning or
+    bucketing by that key, a NULL-safe one cannot.
+    """
+    nullable = keys if nullable is None else nullable
     t = target.select(F.lit(True).alias("t_"), *[F.col(c).alias(f"t_{c}") for c in target.columns])
     s = source.select(F.lit(True).alias("s_"), *[F.col(c).alias(f"s_{c}") for c in source.columns])
     condition = F.lit(True)
     for i, key in enumerate(keys):
-        match = F.col(f"t_{key}").eqNullSafe(F.col(f"s_{key}"))
+        left, right = F.col(f"t_{key}"), F.col(f"s_{key}")
+        match = left.eqNullSafe(right) if key in nullable else left == right
         condition = match if i == 0 else condition & match
     return t.join(s, condition, "full_outer")
 
@@ -59,16 +67,17 @@ def _next_row(columns: list[str], rules: dict[str, Rule]) -> list[Column]:
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str],
-                 update: dict[str, Rule], order: list[Column] | None = None) -> DataFrame:
+                 update: dict[str, Rule], order: list[Column] | None = None,
+                 nullable: list[str] | None = None) -> DataFrame:
     """Update matched rows by the rules, keep the rest of them, insert unmatched ones.
 
-    Keys match NULL-safely.  The source must be unique by key; given ``order``, it
+    Keys match NULL-safely unless left out of ``nullable``.  The source must be unique by key; given ``order``, it
     is first reduced to the first row per key, which also keeps a hot key from
     reaching the join more than once.
     """
     if order is not None:
         source = keep_first(source, keys, order)
-    return _full_join(target, source, keys).select(*_next_row(target.columns, update))
+    return _full_join(target, source, keys, nullable).select(*_next_row(target.columns, update))
 
 
 def insert_missing(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:

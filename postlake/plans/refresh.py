@@ -48,7 +48,7 @@ class Lake:
 
         Without the window, purged postings would return with the next run.
         """
-        kept, _ = lifecycle.retention_split(self.raw(), as_of, retention_days)
+        kept, _ = lifecycle.retention_split(self.raw(), as_of, retention_days, partition="ingest_date")
         identified, _ = split_unidentified(normalize(kept))
         return self.store.commit("staging_postings", deduplicate(identified))
 

@@ -87,7 +87,7 @@ def upsert_facts(facts: DataFrame, staged: DataFrame, monotonic: bool = False) -
     rules: dict[str, Rule] = dict(FACT_RULES)
     if monotonic:
         rules["last_seen_at"] = greatest
-    return merge_upsert(facts, staged, ["posting_id", "date_posted"], rules)
+    return merge_upsert(facts, staged, ["posting_id", "date_posted"], rules, nullable=["date_posted"])
 
 
 def upsert_fact_months(spark, path: str, staged: DataFrame) -> None:
@@ -99,9 +99,8 @@ def upsert_fact_months(spark, path: str, staged: DataFrame) -> None:
     staged = staged.withColumn("posted_month", month_partition("date_posted"))
     months = [r[0] for r in staged.select("posted_month").distinct().collect()]  # one per month
     facts = spark.read.parquet(path).filter(F.col("posted_month").isin(months))
-    merged = merge_upsert(facts.select(*columns("fact_job_posting")),
-                          staged.select(*columns("fact_job_posting")),
-                          ["posting_id", "date_posted"], FACT_RULES)
+    merged = upsert_facts(facts.select(*columns("fact_job_posting")),
+                          staged.select(*columns("fact_job_posting")))
     overwrite_touched(spark, path, merged.withColumn("posted_month", month_partition("date_posted")),
                       "posted_month")
 
@@ -113,7 +112,7 @@ def staged_details(staging: DataFrame) -> DataFrame:
 
 def upsert_details(details: DataFrame, staged: DataFrame) -> DataFrame:
     """Detail merge on posting: known values survive a NULL, derived ones are replaced."""
-    return merge_upsert(details, staged, ["posting_id"], DETAIL_RULES)
+    return merge_upsert(details, staged, ["posting_id"], DETAIL_RULES, nullable=[])
 
 
 def mentions(staging: DataFrame, skills=V.SKILLS) -> DataFrame:

@@ -182,10 +182,13 @@ def land(source: str, records: DataFrame, run_id: str, as_of, path: str) -> int:
     return append_raw(stamp(records, run_id, as_of, source), path)
 
 
-def unchanged_filter(batch: DataFrame, landed: DataFrame, keys: list[str],
-                     payload: str = "payload") -> DataFrame:
-    """Records of a batch whose content is not landed yet under the same key."""
-    def hashed(df):
-        return df.withColumn("_hash", F.md5(F.col(payload).cast("binary")))
-    seen = hashed(landed).select(*keys, "_hash")
-    return hashed(batch).join(seen, [*keys, "_hash"], "left_anti").drop("_hash")
+def content_hashes(raw: DataFrame, keys: list[str], payload: str = "payload") -> DataFrame:
+    """Keys and content digest of landed rows: the narrow table change capture keeps."""
+    return raw.select(*keys, F.md5(F.col(payload).cast("binary")).alias("content_hash"))
+
+
+def changed_only(batch: DataFrame, hashes: DataFrame, keys: list[str],
+                 payload: str = "payload") -> DataFrame:
+    """Records of a batch whose content was not landed before under the same key."""
+    hashed = batch.withColumn("content_hash", F.md5(F.col(payload).cast("binary")))
+    return hashed.join(hashes, [*keys, "content_hash"], "left_anti").select(*batch.columns)

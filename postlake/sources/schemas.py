@@ -62,6 +62,13 @@ TABLES = {
         "checked_at timestamp",
 }
 
+# Tables whose joins and merges go by posting.
+BUCKETED = {
+    "fact_job_posting": "posting_id",
+    "job_posting_detail": "posting_id",
+    "fact_posting_skill_mention": "posting_id",
+}
+
 
 def empty(spark: SparkSession, name: str) -> DataFrame:
     return spark.createDataFrame([], TABLES[name])

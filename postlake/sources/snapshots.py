@@ -8,6 +8,8 @@ all the mutual exclusion a run needs.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,62 +17,87 @@ from postlake.sources import schemas
 
 
 class Snapshots:
-    """Named tables under one root folder."""
+    """Named tables under one root folder.
+
+    The large gold tables are bucketed by posting, all into the same number of
+    buckets, so that joins between them and merges into them need no shuffle of
+    the stored side.  The number is part of the folder's name; by default it is
+    the session's number of shuffle partitions.
+    """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, buckets: int | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    def _numbers(self, name: str) -> dict[int, bool]:
-        """Version number to whether it is complete."""
+    def _folders(self, name: str) -> dict[int, tuple[str, bool]]:
+        """Version number to its folder's name and whether it is complete."""
         jvm = self.spark._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-        fs = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(folder):
+        base = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+        fs = base.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not fs.exists(base):
             return {}
         found = {}
-        for status in fs.listStatus(folder):
+        for status in fs.listStatus(base):
             label = status.getPath().getName()
             if label.startswith("v="):
                 marker = jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-                found[int(label[2:])] = fs.exists(marker)
+                found[int(label[2:].split("-")[0])] = (label, fs.exists(marker))
         return found
 
     def current(self, name: str) -> int | None:
-        return max((n for n, done in self._numbers(name).items() if done), default=None)
+        return max((n for n, (_, done) in self._folders(name).items() if done), default=None)
 
     def exists(self, name: str) -> bool:
         return self.current(name) is not None
 
-    def path(self, name: str, number: int) -> str:
-        return f"{self.root}/{name}/v={number:010d}"
-
     def read(self, name: str) -> DataFrame:
         """The current snapshot, or an empty table of the registered schema."""
-        number = self.current(name)
-        if number is None:
+        complete = {n: label for n, (label, done) in self._folders(name).items() if done}
+        if not complete:
             return schemas.empty(self.spark, name)
+        label = complete[max(complete)]
+        path = f"{self.root}/{name}/{label}"
+        if "-b" in label:
+            return self._bucketed(name, path, int(label.split("-b")[1]))
         reader = self.spark.read
         if name in schemas.TABLES:
             reader = reader.schema(schemas.TABLES[name])
-        return reader.parquet(self.path(name, number))
+        return reader.parquet(path)
+
+    def _table(self, name: str, path: str) -> str:
+        """Catalog name of a bucketed snapshot: bucketing is known only to catalog tables."""
+        digest = hashlib.md5(path.encode()).hexdigest()[:16]
+        return f"postlake_{name}_{digest}"
 
-    def commit(self, name: str, df: DataFrame, number: int | None = None,
-               partition_by: tuple[str, ...] = ()) -> DataFrame:
+    def _bucketed(self, name: str, path: str, buckets: int) -> DataFrame:
+        table, key = self._table(name, path), schemas.BUCKETED[name]
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {table} ({schemas.TABLES[name]}) USING parquet "
+            f"CLUSTERED BY ({key}) SORTED BY ({key}) INTO {buckets} BUCKETS LOCATION '{path}'")
+        return self.spark.table(table)
+
+    def commit(self, name: str, df: DataFrame, number: int | None = None) -> DataFrame:
         """Write the next snapshot and return it.
 
         With an explicit number, as a stream's batch id gives, a commit that is
         already complete is kept and a half-written one is written again.
         """
-        numbers = self._numbers(name)
+        folders = self._folders(name)
         if number is None:
-            number, mode = max(numbers, default=0) + 1, "errorifexists"
-        elif numbers.get(number):
+            number, mode = max(folders, default=0) + 1, "errorifexists"
+        elif folders.get(number, ("", False))[1]:
             return self.read(name)
         else:
             mode = "overwrite"
-        writer = df.write.mode(mode).option("partitionOverwriteMode", "static")
-        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(self.path(name, number))
+        path = f"{self.root}/{name}/v={number:010d}"
+        if name in schemas.BUCKETED:
+            key = schemas.BUCKETED[name]
+            path = f"{path}-b{self.buckets}"
+            (df.repartition(self.buckets, key).write.bucketBy(self.buckets, key).sortBy(key)
+             .mode(mode).option("path", path).saveAsTable(self._table(name, path)))
+        else:
+            df.write.mode(mode).option("partitionOverwriteMode", "static").parquet(path)
         return self.read(name)
 
     def append(self, name: str, rows: DataFrame) -> None:

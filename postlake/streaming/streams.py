@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from postlake import vocabulary as V
+from postlake.operators.dedup import keep_first
 from postlake.operators.merge import Rule, merge_upsert
+from postlake.plans.star import upsert_fact_months
 from postlake.sources.snapshots import Snapshots
 
 
@@ -58,6 +60,20 @@ def upsert_stream(records: DataFrame, store: Snapshots, table: str, keys: list[s
     return _for_each(records, merge, checkpoint, mode)
 
 
+def fact_stream(staged: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Merge staged fact rows into a fact table partitioned by posting month.
+
+    Only the months a micro-batch touches are rewritten, and the fact rules give
+    the same row when a batch is applied again.
+    """
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        unique = keep_first(batch, ["posting_id", "date_posted"],
+                            [F.desc("last_seen_at"), F.desc("first_seen_at")])
+        upsert_fact_months(batch.sparkSession, path, unique)
+
+    return _for_each(staged, merge, checkpoint, "append")
+
+
 def _for_each(records: DataFrame, work: Callable[[DataFrame, int], None], checkpoint: str,
               mode: str) -> StreamingQuery:
     return (records.writeStream.foreachBatch(work).outputMode(mode)

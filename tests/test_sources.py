@@ -141,7 +141,8 @@ def test_land_counts_and_refuses_unknown_sources(spark):
 def test_unchanged_records_are_dropped(spark, rows):
     landed = spark.createDataFrame([("a", "1")], "source_id string, payload string")
     batch = spark.createDataFrame([("a", "1"), ("a", "2"), ("b", "1")], "source_id string, payload string")
-    assert rows(landing.unchanged_filter(batch, landed, ["source_id"])) == [("a", "2"), ("b", "1")]
+    hashes = landing.content_hashes(landed, ["source_id"])
+    assert rows(landing.changed_only(batch, hashes, ["source_id"])) == [("a", "2"), ("b", "1")]
 
 
 def test_config_files(spark, tmp_path, rows):
