@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from postlake import vocabulary as V
 from postlake.functions.time import moment
 from postlake.operators.dedup import deduplicate
-from postlake.operators.lifecycle import archive_reason, is_stale
+from postlake.operators.lifecycle import archive_reason, is_live, is_stale
 from postlake.operators.normalize import normalize, split_unidentified
 from postlake.operators.profiles import profile_row
 from postlake.plans import star as S
@@ -244,12 +244,11 @@ class Bound:
                     for name, df in S.first_load(staging, AS_OF).items()}
             facts = self.store.commit("fact_job_posting", S.staged_facts(
                 staging, gold["dim_company"], gold["dim_location"]))
-            stale = is_stale(AS_OF, STALE_DAYS)
-            archive = facts.filter(stale).select(
+            archive = facts.filter(is_stale(AS_OF, STALE_DAYS)).select(
                 "*", moment(AS_OF).alias("archived_at"),
                 archive_reason(AS_OF, F.col("closing_date")).alias("archive_reason"))
             self._star = S.Star(
-                facts=facts.filter(~stale), archive=archive,
+                facts=facts.filter(is_live(AS_OF, STALE_DAYS)), archive=archive,
                 details=gold["job_posting_detail"], mentions=gold["fact_posting_skill_mention"],
                 companies=gold["dim_company"], locations=gold["dim_location"],
                 skills=gold["dim_skill"], dates=gold["dim_date"],

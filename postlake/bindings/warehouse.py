@@ -135,7 +135,7 @@ def detail_upsert(spark, sf_dir):
         F.when(key % 5 != 0, F.col("low")).alias("salary_min"), "salary_max",
         F.when(F.col("n") > 25, "many").alias("currency"), "experience_level")
     rules = {n: merge.DETAIL_RULES[n] for n in names[1:]}
-    return merge.merge_upsert(target, source, ["part"], rules)
+    return merge.merge_upsert(target, source, ["part"], rules, nullable=[])
 
 
 # --- history ------------------------------------------------------------------

@@ -37,8 +37,19 @@ def retention_split(raw: DataFrame, as_of, days: int = V.RAW_RETENTION_DAYS,
 
 
 def is_stale(as_of, days: int = V.POSTING_RETENTION_DAYS) -> Column:
-    unseen = F.coalesce(unseen_since(F.col("last_seen_at"), as_of, _positive(days)), F.lit(False))
-    return closing_passed(F.col("closing_date"), as_of) | unseen
+    """Past its closing date, or not seen for a number of days.
+
+    This and ``is_live`` are plain comparisons, so both sides of a split are
+    filtered in the scan; together they cover every row once.
+    """
+    return ((F.col("closing_date") < day(as_of))
+            | unseen_since(F.col("last_seen_at"), as_of, _positive(days)))
+
+
+def is_live(as_of, days: int = V.POSTING_RETENTION_DAYS) -> Column:
+    closing, seen = F.col("closing_date"), F.col("last_seen_at")
+    return ((closing.isNull() | (closing >= day(as_of)))
+            & (seen.isNull() | (seen >= moment(as_of, _positive(days)))))
 
 
 def archive_reason(as_of, closing: Column, legacy: bool = False) -> Column:
@@ -117,7 +128,7 @@ def archive_split(facts: DataFrame, archive: DataFrame, companies: DataFrame,
     archive are not encoded again, which makes a repeated run harmless.
     """
     stale = facts.filter(is_stale(as_of, days))
-    live = facts.filter(~is_stale(as_of, days))
+    live = facts.filter(is_live(as_of, days))
     moved = latest_of(stale, archive)
     encoded = encode(
         denormalize(moved, companies, locations, details)

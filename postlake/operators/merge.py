@@ -96,13 +96,13 @@ def apply_changes(target: DataFrame, changes: DataFrame, keys: list[str], order:
                   update: dict[str, Rule] | None = None) -> DataFrame:
     """Apply a change log of upserts and deletes; the last write per key wins.
 
-    ``update`` limits what an upsert changes on an existing row; by default it
+    Keys are ids and never NULL.  ``update`` limits what an upsert changes on an existing row; by default it
     replaces every column.
     """
     last = latest_changes(changes, keys, order)
     rules = update if update is not None else {
         c: take_source for c in target.columns if c not in keys}
-    joined = _full_join(target, last, keys)
+    joined = _full_join(target, last, keys, nullable=[])
     removed = F.coalesce(F.col(f"s_{op}") == delete, F.lit(False))
     return joined.filter(~removed).select(*_next_row(target.columns, rules))
 

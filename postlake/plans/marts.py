@@ -19,11 +19,18 @@ from postlake.functions.time import (date_key, day, likely_closed, moment, quart
 from postlake.plans.star import Star, current_companies
 
 
-def live_and_archived(star: Star, *names: str) -> DataFrame:
-    """Live facts and the archive under one set of columns, flagged ``is_archived``."""
-    live = star.facts.select(*names, F.lit(False).alias("is_archived"))
-    archived = star.archive.select(*names, F.lit(True).alias("is_archived"))
-    return live.unionByName(archived)
+def live_and_archived(star: Star, *names: str, side: DataFrame | None = None,
+                      how: str = "left") -> DataFrame:
+    """Live facts and the archive under one set of columns, flagged ``is_archived``.
+
+    A ``side`` keyed by posting joins each leg before the union: legs stored by
+    posting meet it without a shuffle, a union of them would not.
+    """
+    def leg(df: DataFrame, archived: bool) -> DataFrame:
+        df = df.select(*names, F.lit(archived).alias("is_archived"))
+        return df if side is None else df.join(side, "posting_id", how)
+
+    return leg(star.facts, False).unionByName(leg(star.archive, True))
 
 
 def _with_company(df: DataFrame, star: Star) -> DataFrame:
@@ -107,11 +114,10 @@ def _or_today(as_of):
 
 
 def role_market(star: Star, as_of) -> DataFrame:
-    posts = live_and_archived(star, "posting_id", "role_family", "date_posted")
     pay = star.details.select("posting_id", "salary_min", "salary_max")
+    posts = live_and_archived(star, "posting_id", "role_family", "date_posted", side=pay)
     return (
-        posts.join(pay, "posting_id", "left")
-        .groupBy("role_family", year_month(_or_today(as_of)).alias("year_month"))
+        posts.groupBy("role_family", year_month(_or_today(as_of)).alias("year_month"))
         .agg(F.count_distinct("posting_id").alias("total_postings"),
              steady_round(F.avg("salary_min"), 2).alias("avg_salary_min"),
              steady_round(F.avg("salary_max"), 2).alias("avg_salary_max"))
@@ -170,10 +176,11 @@ def salary_summary(star: Star, as_of) -> DataFrame:
 
     Rows without pay are dropped before the join, where the filter reaches the scan.
     """
-    posts = live_and_archived(star, "posting_id", "location_id", "source_id", "role_family")
     paid = (star.details.select("posting_id", "salary_min", "salary_max", "currency")
             .filter(F.col("salary_min").isNotNull() | F.col("salary_max").isNotNull()))
-    joined = _with_location(posts.join(paid, "posting_id", "inner"), star)
+    posts = live_and_archived(star, "posting_id", "location_id", "source_id", "role_family",
+                              side=paid, how="inner")
+    joined = _with_location(posts, star)
     return pay_stats(joined, [
         "role_family", F.coalesce("location", F.lit("Unknown")).alias("location"), "source_id",
         F.coalesce("currency", F.lit("Unknown")).alias("currency"),

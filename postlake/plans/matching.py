@@ -241,9 +241,11 @@ def match_profiles(star: Star, profiles: DataFrame, as_of, k: int = 5) -> DataFr
                   .withColumn("base", base.cast("decimal(38,8)").cast("double")))
     # The k-th best base is reached by k candidates whatever the wanted salary; one that
     # trails it by more than the salary factor can add, and rounding can hide, is behind all.
-    kth = (_tops(candidates, class_keys, [F.desc("base"), F.asc("posting_id")], k)
-           .groupBy(*class_keys).agg(F.min("base").alias("floor")))
-    reach = (candidates.join(kth, class_keys, "inner")
+    # A class holds a bounded number of candidates, so its window is small.
+    whole_class = (Window.partitionBy(*class_keys).orderBy(F.desc("base"), F.asc("posting_id"))
+                   .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    kth = F.nth_value("base", k).over(whole_class)
+    reach = (candidates.withColumn("floor", F.coalesce(kth, F.lit(0.0)))
              .filter(F.col("base") >= F.col("floor") - F.lit(_SPREAD + _ROUNDING))
              .withColumn("paid", F.col("best_salary").isNotNull()))
     # Equal base and both paid or both unpaid: the same order for every profile again.

@@ -65,6 +65,7 @@ TABLES = {
 # Tables whose joins and merges go by posting.
 BUCKETED = {
     "fact_job_posting": "posting_id",
+    "fact_job_posting_archive": "posting_id",
     "job_posting_detail": "posting_id",
     "fact_posting_skill_mention": "posting_id",
 }
