@@ -99,6 +99,32 @@ def enrich_by_key(spark, sf_dir):
     ).select("c_custkey", "company_display_name", "region")
 
 
+@query("enrich_payload", """
+SELECT c_custkey, c_name AS company, coalesce(n_name, 'Unknown') AS company_display_name,
+  CASE WHEN n_name IS NOT NULL THEN 'r' || CAST(n_regionkey AS VARCHAR) END AS company_industry,
+  CASE WHEN n_name IS NOT NULL THEN n_name || ' City' END AS first_location
+FROM customer LEFT JOIN (SELECT * FROM nation WHERE n_regionkey <> 0) n ON n_nationkey = c_nationkey""")
+def enrich_payload(spark, sf_dir):
+    """Company attributes merged over the members of each payload, by board token."""
+    companies = table(spark, sf_dir, "nation").filter("n_regionkey <> 0").select(
+        F.concat(F.lit("n"), F.col("n_nationkey").cast("string")).alias("greenhouse_board_token"),
+        F.col("n_name").alias("display_name"),
+        F.concat(F.lit("r"), F.col("n_regionkey").cast("string")).alias("industry"),
+        F.array(F.concat("n_name", F.lit(" City"))).alias("locations"),
+        F.lit(None).cast("string").alias("hiring_pace"))
+    own = F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("company"),
+                   F.lit("payload value").alias("company_display_name"))
+    raw = table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_nationkey").select(
+        F.concat(F.lit("n"), F.col("c_nationkey").cast("string")).alias("board_token"),
+        F.to_json(own).alias("payload"))
+    schema = ("id bigint, company string, company_display_name string, company_industry string, "
+              "company_locations array<string>")
+    out = landing.enrich_companies(raw, companies, "greenhouse")
+    return out.select(F.from_json("payload", schema).alias("r")).select(
+        F.col("r.id").alias("c_custkey"), "r.company", "r.company_display_name", "r.company_industry",
+        F.get("r.company_locations", F.lit(0)).alias("first_location"))
+
+
 @query("quarantine_split", """
 WITH tried AS (
   SELECT event_type, event_id % 50 = 7 AS cut,

@@ -14,7 +14,7 @@ from postlake.operators import merge, scd2
 from postlake.operators.profiles import parse, profile_row
 from postlake.plans import marts, matching
 from postlake.plans import star as S
-from postlake.session import scratch_path
+from postlake.session import scratch_path, spread
 from postlake.sources.schemas import columns
 from postlake.sources.snapshots import Snapshots, month_partition
 
@@ -423,8 +423,8 @@ SELECT p_type, n_name, l_returnflag, l_linestatus, count(DISTINCT l_orderkey) AS
 FROM lineitem JOIN part ON p_partkey = l_partkey JOIN supplier ON s_suppkey = l_suppkey
 JOIN nation ON n_nationkey = s_nationkey GROUP BY 1, 2, 3, 4""")
 def price_summary(spark, sf_dir):
-    items = table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice",
-                  "l_returnflag", "l_linestatus")
+    items = spread(table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey",
+                         "l_extendedprice", "l_returnflag", "l_linestatus"))
     parts = table(spark, sf_dir, "part", "p_partkey", "p_type", "p_retailprice")
     nations = (table(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey")
                .join(table(spark, sf_dir, "nation", "n_nationkey", "n_name"),

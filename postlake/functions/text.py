@@ -30,9 +30,23 @@ def normalize_location(raw: Column, default: str = "Unknown") -> Column:
     return F.coalesce(F.nullif(trimmed, F.lit("")), F.lit(default))
 
 
-def strip_markup(raw: Column) -> Column:
-    """Tags become blanks, blanks are squeezed; NULL becomes the empty string."""
-    return F.trim(squeeze(F.regexp_replace(F.coalesce(raw, F.lit("")), r"<[^>]+>", " ")))
+# The named entities that ``unescape`` decodes, the ampersand last.
+ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
+
+
+def unescape(text: Column) -> Column:
+    for entity, character in ENTITIES:
+        text = F.replace(text, F.lit(entity), F.lit(character))
+    return text
+
+
+def strip_markup(raw: Column, decode_entities: bool = False) -> Column:
+    """Tags become blanks, blanks are squeezed; NULL becomes the empty string.
+
+    Entities stay as they are unless ``decode_entities`` is set.
+    """
+    plain = F.regexp_replace(F.coalesce(raw, F.lit("")), r"<[^>]+>", " ")
+    return F.trim(squeeze(unescape(plain) if decode_entities else plain))
 
 
 def first_match(cases: Sequence[tuple[Column, object]], default: object) -> Column:

@@ -80,14 +80,15 @@ def tag_by_pattern(df: DataFrame, key: str, text: Column, terms: Sequence[str])
 
 
 def _span_pattern(runs: int, word_first: bool) -> str:
-    """A zero-width match at every run start, capturing the span of so many runs.
+    """One match per run of the first kind, capturing the span of so many runs from there.
 
-    Possessive runs never give characters back, so a span always ends at a boundary.
+    The span is captured ahead of the match and only its first run is consumed, so
+    spans overlap but the scan goes run by run.  Possessive runs never give
+    characters back, so a span always ends at a boundary.
     """
     word, other = f"[{_WORD}]++", f"[^{_WORD}]++"
     kinds = [word, other] if word_first else [other, word]
-    before = f"(?<![{_WORD}])" if word_first else f"(?<![^{_WORD}])"
-    return before + "(?=(" + "".join(kinds[i % 2] for i in range(runs)) + "))"
+    return "(?=(" + "".join(kinds[i % 2] for i in range(runs)) + "))" + kinds[0]
 
 
 def term_spans(text: Column, shapes: Sequence[tuple[int, bool]]) -> Column:

@@ -133,13 +133,13 @@ def overlay_members(payload: Column, extra: Column) -> Column:
     value; strings are the only members that need quoting again.
     """
     merged = F.map_zip_with(
-        _members(payload), _members(extra),
-        lambda _, own, new: F.coalesce(new, own))
-    entries = F.transform(
-        F.map_entries(merged),
-        lambda e: F.concat(F.to_json(F.array(e["key"])).substr(F.lit(2), F.length(F.to_json(F.array(e["key"]))) - 2),
-                           F.lit(":"), e["value"]))
-    return F.concat(F.lit("{"), F.array_join(entries, ","), F.lit("}"))
+        _members(payload), _members(extra), lambda _, own, new: F.coalesce(new, own))
+
+    def member(entry: Column) -> Column:
+        name = F.to_json(F.array(entry["key"]))  # a quoted name in brackets
+        return F.concat(F.substring(name, F.lit(2), F.length(name) - 2), F.lit(":"), entry["value"])
+
+    return F.concat(F.lit("{"), F.array_join(F.transform(F.map_entries(merged), member), ","), F.lit("}"))
 
 
 def _members(payload: Column) -> Column:

@@ -42,6 +42,7 @@ def test_location(spark, raw, clean):
 def test_strip_markup(spark):
     assert one(spark, text.strip_markup(F.col("h")), h="<p>a</p>\n<b>b &amp; c</b>") == "a b &amp; c"
     assert one(spark, text.strip_markup(F.col("h")), h=None) == ""
+    assert one(spark, text.strip_markup(F.col("h"), decode_entities=True), h="<i>a</i>&nbsp;&amp;lt; b") == "a &lt; b"
 
 
 def test_bucket_and_decode(spark):
