@@ -240,8 +240,7 @@ class Bound:
     def star(self) -> S.Star:
         if self._star is None:
             staging = self.staging()
-            gold = {name: self.store.commit(name, df)
-                    for name, df in S.first_load(staging, AS_OF).items()}
+            gold = self.store.commit_all(S.first_load(staging, AS_OF))
             facts = self.store.commit("fact_job_posting", S.staged_facts(
                 staging, gold["dim_company"], gold["dim_location"]))
             archive = facts.filter(is_stale(AS_OF, STALE_DAYS)).select(

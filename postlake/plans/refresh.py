@@ -57,18 +57,19 @@ class Lake:
         self.store.append("data_quality_log", quality.log_rows(rules, run_id, moment(as_of)))
 
     def load(self, as_of) -> None:
-        read, commit = self.store.read, self.store.commit
+        read = self.store.read
         staging = read("staging_postings")
-        companies = commit("dim_company", star.refresh_companies(read("dim_company"), staging, as_of))
-        locations = commit("dim_location", dims.accumulate(
-            read("dim_location"), dims.locations(staging), "location_id"))
-        commit("dim_skill", schemas.seed_skills(self.spark))
-        commit("fact_job_posting", star.upsert_facts(
-            read("fact_job_posting"), star.staged_facts(staging, companies, locations)))
-        commit("job_posting_detail", star.upsert_details(
-            read("job_posting_detail"), star.staged_details(staging)))
-        commit("fact_posting_skill_mention", star.mentions(staging))
-        commit("dim_date", dims.calendar(read("fact_job_posting"), "date_posted", as_of))
+        made = self.store.commit_all({
+            "dim_company": star.refresh_companies(read("dim_company"), staging, as_of),
+            "dim_location": dims.accumulate(read("dim_location"), dims.locations(staging), "location_id"),
+            "dim_skill": schemas.seed_skills(self.spark),
+            "job_posting_detail": star.upsert_details(
+                read("job_posting_detail"), star.staged_details(staging)),
+            "fact_posting_skill_mention": star.mentions(staging),
+        })
+        staged = star.staged_facts(staging, made["dim_company"], made["dim_location"])
+        facts = self.store.commit("fact_job_posting", star.upsert_facts(read("fact_job_posting"), staged))
+        self.store.commit("dim_date", dims.calendar(facts, "date_posted", as_of))
 
     def set_profiles(self, changes: DataFrame) -> None:
         self.store.commit("user_profile", tracking.upsert_profiles(
@@ -93,10 +94,10 @@ class Lake:
             known, as_of, days, cold_only)
         counts = purge.counts.first().asDict()
         archive.append_archive(purge.encoded, self.archive_path)
+        # The archive table takes the stale rows before the live tables let go of them.
         self.store.commit("fact_job_posting_archive", purge.archive)
-        self.store.commit("fact_job_posting", purge.facts)
-        self.store.commit("job_posting_detail", purge.details)
-        self.store.commit("fact_posting_skill_mention", purge.mentions)
+        self.store.commit_all({"fact_job_posting": purge.facts, "job_posting_detail": purge.details,
+                               "fact_posting_skill_mention": purge.mentions})
         return counts
 
     def refresh(self, run_id: str, attempts: DataFrame, as_of,
