@@ -117,6 +117,16 @@ def latest_of(stale: DataFrame, archived: DataFrame) -> DataFrame:
     return keep_first(ranked.filter(F.col("posting_id").isNotNull()), ["posting_id"], order).drop("_rank")
 
 
+def _not_archived(stale: DataFrame, archive: DataFrame) -> DataFrame:
+    """Stale rows the archive does not hold in this very sighting, so that a run that died
+    after writing the archive can be repeated."""
+    held = archive.select(F.col("posting_id").alias("_id"), F.col("date_posted").alias("_date"),
+                          F.col("last_seen_at").alias("_seen"))
+    same = ((F.col("posting_id") == F.col("_id")) & F.col("date_posted").eqNullSafe(F.col("_date"))
+            & F.col("last_seen_at").eqNullSafe(F.col("_seen")))
+    return stale.join(held, same, "left_anti")
+
+
 def archive_split(facts: DataFrame, archive: DataFrame, companies: DataFrame,
                   locations: DataFrame, details: DataFrame, mentions: DataFrame,
                   archived_ids: DataFrame, as_of, days: int = V.POSTING_RETENTION_DAYS,
@@ -136,7 +146,8 @@ def archive_split(facts: DataFrame, archive: DataFrame, companies: DataFrame,
     stamped = stale.select(
         "*", moment(as_of).alias("archived_at"),
         archive_reason(as_of, F.col("closing_date")).alias("archive_reason"))
-    kept = archive.limit(0) if cold_only else archive.unionByName(stamped.select(*archive.columns))
+    kept = archive.limit(0) if cold_only else archive.unionByName(
+        _not_archived(stamped, archive).select(*archive.columns))
     ids = live.select("posting_id").distinct()
     known = archived_ids.select("posting_id").withColumn("_cold", F.lit(1)).distinct()
     counts = (
