@@ -19,6 +19,14 @@ def query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
     return run
 
 
+@query
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from postlake.llm.sharding import shard_documents
+    return shard_documents(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
 @query
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trained on the labels whose crc32(doc_id) mod 5 is not 0; every text scored."""
@@ -42,6 +50,22 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document next to its edited text and to the next document."""
+    from postlake.llm import fingerprint as fp
+    pairs = fp.with_next(table(spark, sf_dir, "documents"))
+    made = pairs.withColumn("edited", fp.edited(F.col("text"), F.col("next_text"))).select(
+        "doc_id", F.char_length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        F.col("sketch").alias("own"), fp.sketch(F.col("edited")).alias("changed"), F.col("next_sketch").alias("following"))
+    return made.select(
+        "doc_id", "n_chars", "edited_sha256", fp.shown(F.col("own")).alias("fingerprint"),
+        fp.shown(F.col("changed")).alias("edited_fingerprint"),
+        fp.resemblance(F.col("own"), F.col("changed")).alias("near_edited"),
+        fp.resemblance(F.col("own"), F.col("following")).alias("near_next"),
+        fp.distinct_shingles(F.col("own")).alias("n_shingles"))
+
+
 @query
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from postlake.llm.secrets import secret_digests
