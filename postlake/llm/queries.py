@@ -50,6 +50,13 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query
+def op6_multiindex(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from postlake.llm.multiindex import nearest, usable
+    vectors = usable(table(spark, sf_dir, "embeddings"))
+    return nearest(vectors, vectors.where("vec_id % 100 = 0"))
+
+
 @query
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document next to its edited text and to the next document."""
