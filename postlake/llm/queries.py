@@ -73,6 +73,12 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         fp.distinct_shingles(F.col("own")).alias("n_shingles"))
 
 
+@query
+def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from postlake.llm.neardup import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "documents"), 4, 85).drop("row")
+
+
 @query
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from postlake.llm.secrets import secret_digests
