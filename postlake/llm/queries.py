@@ -50,6 +50,14 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query
+def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from postlake.llm.linededup import dedup_lines
+    return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "text", F.coalesce(F.array_join("_removed", ","), F.lit("")).alias("removed_lines"),
+        F.coalesce(F.size("_removed"), F.lit(0)).cast("long").alias("n_removed"))
+
+
 @query
 def op6_multiindex(spark: SparkSession, sf_dir: str) -> DataFrame:
     from postlake.llm.multiindex import nearest, usable
