@@ -87,6 +87,12 @@ def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), 4, 85).drop("row")
 
 
+@query
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from postlake.llm.licenses import scan_licenses
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from postlake.llm.secrets import secret_digests
