@@ -17,6 +17,7 @@ from pyspark.sql.window import Window
 from postlake.session import scratch_path
 
 
+BATCH, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 2000
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -47,7 +48,12 @@ def shuffle_width(spark: SparkSession) -> int:
 
 
 def shipped(spark: SparkSession) -> None:
-    """Send the package to the Python workers, once per context; Spark serves the file to executors."""
+    """Send the package to the Python workers, once per context; Spark serves the file to executors.
+
+    Arrow batches are kept to some thousand texts, which bounds a worker's memory.
+    """
+    if int(spark.conf.get(BATCH)) > BATCH_ROWS:
+        spark.conf.set(BATCH, str(BATCH_ROWS))
     context = spark.sparkContext
     if getattr(context, "_postlake_shipped", False):
         return

@@ -29,10 +29,11 @@ BITS = 2048  # of a token bitmap
 NODES = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("row", T.LongType()),
                       T.StructField("n_shingles", T.LongType()), T.StructField("node", T.LongType())])
 PARTS = T.StructType([T.StructField("node", T.LongType()), T.StructField("parts", T.ArrayType(T.LongType()))])
-SETS = T.StructType([T.StructField("node", T.LongType()), T.StructField("tokens", T.ArrayType(T.LongType()))])
+SETS = T.StructType([T.StructField("node", T.LongType()), T.StructField("tokens", T.ArrayType(T.LongType())),
+                     T.StructField("size", T.IntegerType()), T.StructField("bits", T.BinaryType())])
 
 
-def chunks(texts: list[bytes], size: int = 4 << 20):
+def chunks(texts: list[bytes], size: int = 1 << 20):
     """Index ranges of texts of about ``size`` bytes together."""
     at = 0
     while at < len(texts):
@@ -134,7 +135,7 @@ def part_rows(docs: DataFrame, width: int, percent: int) -> DataFrame:
 
 def sets_of(docs: DataFrame, width: int) -> DataFrame:
     def work(texts):
-        nodes, sets = [], []
+        nodes, sets, bits = [], [], []
         texts = encoded(texts)
         for lo, hi in chunks(texts):
             tokens, starts = shingle_sets(texts[lo:hi], width)
@@ -142,7 +143,8 @@ def sets_of(docs: DataFrame, width: int) -> DataFrame:
                 own = tokens[starts[i]:starts[i + 1]]
                 nodes.append(set_key(own) if len(own) else None)
                 sets.append(own.astype(np.int64))
-        return {"node": nodes, "tokens": sets}
+                bits.append(np.packbits(bitmap(own)).tobytes())
+        return {"node": nodes, "tokens": sets, "size": [len(s) for s in sets], "bits": bits}
 
     return map_batches(docs.select("text"), work, SETS)
 
@@ -167,9 +169,9 @@ def bitmap(tokens: np.ndarray) -> np.ndarray:
 class Tree:
     """Nodes sorted by size, in leaves; each tree node has an OR bitmap and a range of sizes."""
 
-    def __init__(self, sets: list[np.ndarray], group: int = FAN):
-        self.order = sorted(range(len(sets)), key=lambda i: (len(sets[i]), i))
-        self.levels = [[(bitmap(sets[i]), len(sets[i]), len(sets[i])) for i in self.order]]
+    def __init__(self, bitmaps: list[np.ndarray], sizes: list[int], group: int = FAN):
+        self.order = sorted(range(len(sizes)), key=lambda i: (sizes[i], i))
+        self.levels = [[(bitmaps[i], sizes[i], sizes[i]) for i in self.order]]
         while len(self.levels[-1]) > 1:
             below = self.levels[-1]
             self.levels.append([(np.logical_or.reduce([b[0] for b in below[k:k + group]]),
@@ -223,17 +225,18 @@ def dual(left: Tree, right: Tree, percent: int):
             todo += [(i, a, j - 1, c) for c in range(b * right.group, min((b + 1) * right.group, len(right.levels[j - 1])))]
 
 
-def tree_links(stars: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links among nodes that met the same pivot but lie in different components.
+def tree_pairs(stars: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs that may link among nodes that met the same pivot but lie in different components.
 
     ``stars`` has ``pivot, node, component``.  The nodes of a pivot are dealt, by size
     class, to leaves of LEAF nodes; a component that fills leaves has its own, the others
     share.  Pairs of leaves that can link, but for two of one component, meet in a task of
-    their own, at most LEAF against LEAF sets, and are traversed there.
+    their own, at most LEAF against LEAF nodes, and are traversed there.
+    Only bitmaps and sizes travel; the pairs that are left are verified on whole sets.
     """
     shipped(stars.sparkSession)
     level = F.floor(F.log("size") / F.log(F.lit(100 / percent))).cast("long")
-    sized = stars.join(sets, "node").withColumn("size", F.size("tokens")).withColumn("level", level)
+    sized = stars.join(sets.select("node", "size", "bits"), "node").withColumn("level", level)
     large = (sized.groupBy("pivot", "level", "component").agg(F.count("*").alias("n")).where(F.col("n") >= LEAF)
              .select("pivot", "level", "component", F.col("component").alias("pure")))
     grouped = sized.join(large, ["pivot", "level", "component"], "left")
@@ -245,27 +248,24 @@ def tree_links(stars: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         (F.col("leaf") <= F.col("leaf_2")) & (100 * F.col("most") >= percent * F.col("least_2"))
         & (100 * F.col("most_2") >= percent * F.col("least"))
         & F.coalesce(F.col("pure") != F.col("pure_2"), F.lit(True))).select("pivot", "leaf", "leaf_2"), "pairs")
-    a = pairs.join(leaves.select("pivot", "leaf", "node", "component", "tokens"), ["pivot", "leaf"])
-    b = pairs.join(leaves.select("pivot", F.col("leaf").alias("leaf_2"), "node", "component", "tokens"), ["pivot", "leaf_2"])
+    a = pairs.join(leaves.select("pivot", "leaf", "node", "component", "size", "bits"), ["pivot", "leaf"])
+    b = pairs.join(leaves.select("pivot", F.col("leaf").alias("leaf_2"), "node", "component", "size", "bits"), ["pivot", "leaf_2"])
 
     def match(met):
-        left, right = met[met["side"] == 0], met[met["side"] == 1]
-        x = [np.asarray(t) for t in left["tokens"]]
-        y = [np.asarray(t) for t in right["tokens"]]
+        x, y = met[met["side"] == 0], met[met["side"] == 1]
         out = []
-        if x and y:
-            of_x, of_y = left["component"].to_numpy(), right["component"].to_numpy()
-            for i, j in dual(Tree(x), Tree(y), percent):
-                if of_x[i] == of_y[j]:
-                    continue
-                both = len(np.intersect1d(x[i], y[j], assume_unique=True))
-                if 100 * both >= percent * (len(x[i]) + len(y[j]) - both):
-                    out.append((left["node"].iloc[i], right["node"].iloc[j]))
+        if len(x) and len(y):
+            trees = [Tree([np.unpackbits(np.frombuffer(v, dtype=np.uint8)).astype(bool) for v in side["bits"]],
+                          side["size"].tolist()) for side in (x, y)]
+            of_x, of_y = x["component"].to_numpy(), y["component"].to_numpy()
+            nodes_x, nodes_y = x["node"].to_numpy(), y["node"].to_numpy()
+            for i, j in dual(*trees, percent):
+                if of_x[i] != of_y[j]:
+                    out.append((min(nodes_x[i], nodes_y[j]), max(nodes_x[i], nodes_y[j])))
         return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
-    by = ["pivot", "leaf", "leaf_2"]
     sides = a.withColumn("side", F.lit(0)).unionByName(b.withColumn("side", F.lit(1)))
-    return sides.groupBy(*by).applyInPandas(match, "a long, b long")
+    return sides.groupBy("pivot", "leaf", "leaf_2").applyInPandas(match, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, text: str = "text", key: str = "doc_id",
@@ -307,7 +307,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, text: st
             open_stars = marked.join(unsettled, "a", "left_semi")
             stars = open_stars.select(F.col("a").alias("pivot"), F.col("b").alias("node"), F.col("of_b").alias("component"))
             several = stars.groupBy("pivot").agg(F.countDistinct("component").alias("n")).where("n > 1").select("pivot")
-            found = stored(tree_links(stars.join(several, "pivot", "left_semi"), sets, percent), "found")
+            maybe = stored(tree_pairs(stars.join(several, "pivot", "left_semi"), sets, percent), "maybe")
+            found = stored(verified(maybe, sets, percent), "found")
             if found.head(1):
                 links = stored(links.union(found), "links")
                 joined = components(links)

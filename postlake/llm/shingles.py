@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 
-PIECE = 2 << 20  # bytes hashed at once
+PIECE = 1 << 19  # bytes hashed at once
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 
