@@ -213,10 +213,11 @@ def train(docs: DataFrame, labels: DataFrame, training: Column | None = None, sa
     pick = F.xxhash64(F.col("doc_id").cast("string"), F.lit("sample"))
     chosen = {}
     for toxic in (1, 0):
+        ids = marks.where(F.col("toxic") > 0 if toxic else F.col("toxic") <= 0).orderBy(pick, "doc_id").limit(sample).select("doc_id")
         texts = (docs.select("doc_id", "text").where(F.char_length("text").between(1, SAMPLE_CHARS))
-                 .join(marks.where(F.col("toxic") > 0 if toxic else F.col("toxic") <= 0), "doc_id", "left_semi")
-                 .withColumn("_pick", pick))
-        chosen[toxic] = [r["text"] for r in texts.orderBy("_pick", "text").limit(sample).select("text").collect()]
+                 .join(F.broadcast(ids), "doc_id", "left_semi")  # at most ``sample`` ids
+                 .groupBy("doc_id").agg(F.min("text").alias("text")).orderBy("doc_id"))
+        chosen[toxic] = [r["text"] for r in texts.select("text").collect()]
     return fit(chosen[1], chosen[0], share or 0.0)
 
 
