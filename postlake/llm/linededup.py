@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postlake.llm.common import map_batches, shipped, stored
+from postlake.llm.common import as_table, map_batches, shipped, stored
 
 WORDS = 50
 LINES = T.StructType([T.StructField("row", T.LongType()), T.StructField("doc_id", T.LongType()),
@@ -130,10 +130,11 @@ def dedup_lines(docs: DataFrame, words: int = WORDS) -> DataFrame:
 
     All rows stay, with their columns; ``text`` is cut.  Null and empty texts stay as they
     are; texts of fewer words than ``words`` have no window; null keys count as earliest, repeated
-    rows as later copies; an empty table gives no rows.
+    rows as later copies; an empty table gives no rows.  Rows are told apart by their place
+    in the scan (anything but a plain table is written first).
     """
     shipped(docs.sparkSession)
-    numbered = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "docs")
+    numbered = as_table(docs).withColumn("_row", F.monotonically_increasing_id())
     gone = repeats(numbered.select(F.col("_row").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text"), words)
     joined = numbered.join(gone.select(F.col("row").alias("_row"), F.col("removed").alias("_removed")), "_row", "left").drop("_row")
 

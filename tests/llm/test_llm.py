@@ -217,7 +217,7 @@ def test_shards_are_even_and_keep_copies_together(spark, docs, none):
         slots = sorted(r.slot for r in got if r.shard == s)
         assert slots == list(range(len(slots)))
     many = spark.range(3000).selectExpr("id as doc_id", "case when id % 3 = 0 then 'hot text' else repeat(cast(id as string), cast(id % 17 as int)) end as text")
-    placed = sharding.shard_documents(many, 8)
+    placed = sharding.shard_documents(many.union(spark.range(5000, 9000).selectExpr("id", "repeat(cast(id as string), 5)")), 8)
     sizes = [r[0] for r in placed.groupBy("shard").agg(F.sum("size")).select("sum(size)").collect()]
     assert max(sizes) <= 1.02 * sum(sizes) / 8
     assert placed.where("size = 9 and doc_id % 3 = 0").select("shard").distinct().count() <= 2
