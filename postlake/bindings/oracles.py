@@ -67,7 +67,7 @@ NORM = POSTS + f""",
 shaped AS (
   SELECT *, source_id || '-' || CAST(id AS VARCHAR) AS posting_id,
     coalesce(company, 'Unknown') AS company_name,
-    CASE WHEN src = 4 AND id % 4 = 0 THEN coalesce(loc || ', XX', 'XX') ELSE loc END AS location_raw,
+    CASE WHEN src = 4 AND id % 4 = 0 THEN coalesce(loc || ', XX', 'XX') WHEN src = 4 THEN coalesce(loc, '') ELSE loc END AS location_raw,
     'https://' || source_id || '.example/' || CAST(id AS VARCHAR) AS url
   FROM posts
 ),
@@ -244,23 +244,15 @@ inputs AS (
 
 
 def seniority(level: str) -> str:
-    def title(*terms):
-        return whole_words("job_title", terms)
-    return f"""CASE
-    WHEN {level} = 'ENTRY' THEN CASE
-      WHEN is_fresher OR experience_level = 'FRESHER' THEN 1.0
-      WHEN experience_level = 'JUNIOR' THEN 0.95 WHEN experience_level = 'MID' THEN 0.5
-      WHEN experience_level IN ('SENIOR', 'LEAD') THEN 0.2
-      WHEN {title("intern", "junior", "entry", "associate", "graduate", "fresher")} THEN 1.0
-      WHEN {title("lead", "principal", "staff", "director", "head", "vp", "manager")} THEN 0.2
-      WHEN {title("senior", "sr[.]?")} THEN 0.3 ELSE 0.85 END
-    WHEN {level} = 'SENIOR' THEN CASE
-      WHEN experience_level IN ('SENIOR', 'LEAD') THEN 1.0 WHEN experience_level = 'MID' THEN 0.8
-      WHEN is_fresher OR experience_level = 'FRESHER' THEN 0.2
-      WHEN {title("senior", "sr[.]?", "lead", "staff", "principal")} THEN 1.0
-      WHEN {title("intern", "junior", "entry", "graduate")} THEN 0.2 ELSE 0.7 END
-    ELSE CASE WHEN experience_level = 'MID' THEN 1.0
-      WHEN experience_level IN ('JUNIOR', 'SENIOR') THEN 0.85 ELSE 0.8 END END"""
+    def fit(rule: dict) -> str:
+        arms = []
+        for name, score in rule["levels"]:
+            flag = "is_fresher OR " if name == "FRESHER" and rule["fresher_flag"] is not None else ""
+            arms.append(f"WHEN {flag}experience_level = '{name}' THEN {score}")
+        arms += [f"WHEN {whole_words('job_title', terms)} THEN {score}" for terms, score in rule["titles"]]
+        return f"CASE {' '.join(arms)} ELSE {rule['default']} END"
+    named = " ".join(f"WHEN {level} = '{kind}' THEN {fit(rule)}" for kind, rule in V.SENIORITY_SCORES.items() if kind != "OTHER")
+    return f"CASE {named} ELSE {fit(V.SENIORITY_SCORES['OTHER'])} END"
 
 
 def factors(wanted_roles: str, remote: str, min_salary: str, level: str, skill: str | None = None) -> str:
