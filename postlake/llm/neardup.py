@@ -3,6 +3,9 @@
 Texts with equal shingle sets are one node.  A set's hashes are cut by value into more
 parts than two linked sets can differ in, so linked sets have an equal non-empty part:
 nodes that share a part meet at the least of them, their pivot (a row per meeting, never all pairs).
+Linked sets have more equal parts than just one, so each set leaves out as many of its most
+frequent parts as it can spare: the rarest equal part is then still there in both, and a
+passage that very many documents hold makes few of them meet.
 Meetings are verified on whole sets; nodes that are not linked to a pivot they met are
 compared with the others that met it by signature trees: leaves of some dozen nodes carry
 the OR of their token bitmaps and their range of sizes, and a dual traversal goes down only
@@ -28,7 +31,8 @@ FAN = 8  # children of an inner tree node
 BITS = 2048  # of a token bitmap
 NODES = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("row", T.LongType()),
                       T.StructField("n_shingles", T.LongType()), T.StructField("node", T.LongType())])
-PARTS = T.StructType([T.StructField("node", T.LongType()), T.StructField("parts", T.ArrayType(T.LongType()))])
+PARTS = T.StructType([T.StructField("node", T.LongType()), T.StructField("spare", T.IntegerType()),
+                      T.StructField("parts", T.ArrayType(T.LongType()))])
 SETS = T.StructType([T.StructField("node", T.LongType()), T.StructField("tokens", T.ArrayType(T.LongType())),
                      T.StructField("size", T.IntegerType()), T.StructField("bits", T.BinaryType())])
 
@@ -61,12 +65,15 @@ def bounds(percent: int, largest: int) -> list[int]:
     return starts
 
 
-def parts_of(tokens: np.ndarray, starts: np.ndarray, percent: int) -> list[np.ndarray]:
-    """For each set, the hashes of its parts for its own size class and the next.
+def parts_of(tokens: np.ndarray, starts: np.ndarray, percent: int) -> list[list[tuple[int, np.ndarray]]]:
+    """For each set, ``(spare, hashes of its parts)`` for its own size class and the next.
 
     In class ``c`` (sizes up to U) linked sets differ in at most
     D = floor(2 U (100 - percent) / (100 + percent)) tokens.  With P > D parts, at least P - D
     are equal; if a set has that many empty parts, it also meets the others that have.
+    Of its E empty parts at most E are equal ones, so a set can leave out any
+    P - D - 1 - E others (``spare``) that come last in an order common to all sets and still
+    has the first equal part.  The lowest bit of a hash is that of its class.
     """
     sizes = np.diff(starts)
     limits = bounds(percent, int(sizes.max(initial=0)))
@@ -74,7 +81,7 @@ def parts_of(tokens: np.ndarray, starts: np.ndarray, percent: int) -> list[np.nd
     owner = np.repeat(np.arange(len(sizes)), sizes)
     high = tokens >> np.uint64(32)
     scrambled = mixed(tokens)
-    out: list[list[np.ndarray]] = [[] for _ in sizes]
+    out: list[list[tuple[int, np.ndarray]]] = [[] for _ in sizes]
     extended = limits + [limits[-1] * 100 // percent + 1, 0]
     extended[-1] = extended[-2] * 100 // percent + 1
     for step in (0, 1):
@@ -95,10 +102,12 @@ def parts_of(tokens: np.ndarray, starts: np.ndarray, percent: int) -> list[np.nd
         filled = np.bincount(whose, minlength=len(sizes))
         edges = np.concatenate([[0], np.cumsum(filled)])
         for i in np.flatnonzero(sizes):
-            out[i].append(made[edges[i]:edges[i + 1]])
-            if int(number[i]) - int(filled[i]) >= int(number[i]) - int(differ[i]):
-                out[i].append(mixed(np.array([tag[i]], dtype=np.uint64) + np.uint64(1 << 40)))
-    return [np.concatenate(o).astype(np.int64) if o else np.zeros(0, dtype=np.int64) for o in out]
+            own, equal, empty = made[edges[i]:edges[i + 1]], int(number[i]) - int(differ[i]), int(number[i]) - int(filled[i])
+            if empty >= equal:
+                own = np.append(own, mixed(np.array([tag[i]], dtype=np.uint64) + np.uint64(1 << 40)))
+            own = own & ~np.uint64(1) | np.uint64(tag[i] & 1)
+            out[i].append((max(0, equal - 1 - empty), own.astype(np.int64)))
+    return out
 
 
 def nodes_of(docs: DataFrame, width: int) -> DataFrame:
@@ -118,19 +127,37 @@ def nodes_of(docs: DataFrame, width: int) -> DataFrame:
 
 def part_rows(docs: DataFrame, width: int, percent: int) -> DataFrame:
     def work(texts):
-        nodes, parts = [], []
+        nodes, spares, parts = [], [], []
         texts = encoded(texts)
         for lo, hi in chunks(texts):
             tokens, starts = shingle_sets(texts[lo:hi], width)
             made = parts_of(tokens, starts, percent)
             for i in range(hi - lo):
                 own = tokens[starts[i]:starts[i + 1]]
-                if len(own):
+                for spare, hashes in made[i]:
                     nodes.append(set_key(own))
-                    parts.append(made[i])
-        return {"node": nodes, "parts": parts}
+                    spares.append(spare)
+                    parts.append(hashes)
+        return {"node": nodes, "spare": spares, "parts": parts}
 
-    return map_batches(docs.select("text"), work, PARTS).select("node", F.explode("parts").alias("part"))
+    return map_batches(docs.select("text"), work, PARTS).select("node", "spare", F.explode("parts").alias("part"))
+
+
+def meetings(parts: DataFrame) -> DataFrame:
+    """``a, b, times``: the pivot ``a`` of the parts that node ``b`` does not leave out, and of how many.
+
+    A part's pivot is the least node that has it.  Parts are ordered by rows that have them;
+    a node leaves out the ``spare`` most frequent ones of each of its size classes, counting
+    only parts that several nodes have.  Copies of a node become one row before nodes are shuffled.
+    """
+    whole = Window.partitionBy("part").orderBy("node").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    last = Window.partitionBy("node", "class").orderBy(F.desc("held"), "part")
+    shared = (parts.withColumn("pivot", F.first("node").over(whole)).withColumn("end", F.last("node").over(whole))
+              .withColumn("held", F.count("*").over(whole)).where("pivot != end")
+              .groupBy("part", "node").agg(*[F.first(c).alias(c) for c in ("spare", "pivot", "held")]))
+    return (shared.repartition("node").withColumn("class", F.col("part").bitwiseAND(1))
+            .withColumn("place", F.row_number().over(last)).where("place > spare and pivot != node")
+            .groupBy(F.col("pivot").alias("a"), F.col("node").alias("b")).agg(F.count("*").alias("times")))
 
 
 def sets_of(docs: DataFrame, width: int) -> DataFrame:
@@ -283,10 +310,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, text: st
     number = docs[row] if row else F.monotonically_increasing_id()
     rows = docs.select(docs[key].cast("long").alias("doc_id"), number.alias("row"), docs[text].cast("string").alias("text"))
     nodes = stored(nodes_of(rows, width), "nodes")
-    order = Window.partitionBy("part").orderBy("node").rowsBetween(Window.unboundedPreceding, 0)
-    met = (part_rows(rows, width, percent).withColumn("pivot", F.first("node").over(order)).where("pivot != node")
-           .groupBy(F.col("pivot").alias("a"), F.col("node").alias("b")).agg(F.count("*").alias("times")))
-    met = stored(met, "met")
+    met = stored(meetings(part_rows(rows, width, percent)), "met")
     wanted = met.select(F.col("a").alias("node")).union(met.select("b")).distinct()
     # one text of each node that met another
     chosen = nodes.join(wanted, "node").groupBy("node").agg(F.min("row").alias("row"))

@@ -165,8 +165,10 @@ def brute_components(items, width, percent):
 def test_near_duplicates_match_brute_force(spark, docs, none, width, percent):
     draw = random.Random(9)
     made = []
-    for family in range(12):
+    common = prose(77, 60)  # a passage that many texts share, most of some of them
+    for family in range(18):
         words = prose(family + 300, draw.choice([3, 7, 30, 90])).split()
+        words = common.split() + words if family > 9 else words
         for _ in range(8):
             made.append(" ".join(w if draw.random() > 0.02 else "x%d" % draw.randrange(99) for w in words))
     more = spark.createDataFrame([(1000 + i, t, None, None, None, "a", "b", "c") for i, t in enumerate(made)], DOCS)
