@@ -125,6 +125,37 @@ def enrich_payload(spark, sf_dir):
         F.get("r.company_locations", F.lit(0)).alias("first_location"))
 
 
+@query("landing_balance", """
+WITH e AS (SELECT user_id, event_id, event_id // 100 AS page, event_id % 10 AS kind FROM events),
+p AS (SELECT user_id, page, (user_id + page) % 7 = 3 AS cut, count(*) AS n FROM e GROUP BY 1, 2)
+SELECT 'body PARSE_ERROR' AS what, count(*) AS n FROM p WHERE cut
+UNION ALL SELECT CASE kind WHEN 0 THEN 'record PARSE_ERROR' WHEN 1 THEN 'kept as it came' ELSE 'enriched' END, count(*)
+FROM e JOIN p USING (user_id, page) WHERE NOT cut GROUP BY 1""")
+def landing_balance(spark, sf_dir):
+    """Nothing vanishes: bodies in = cut off + whole, records in = malformed + enriched + kept as they came.
+
+    Some bodies are cut off; in the others, each tenth record is cut off and each tenth
+    repeats a member, which enrichment leaves alone.
+    """
+    page = F.floor(F.col("event_id") / 100).alias("page")
+    kind, name = F.col("event_id") % 10, F.concat(F.lit('{"id":'), F.col("event_id").cast("string"))
+    record = F.when(kind == 0, F.concat(name, F.lit(',"a":'))).when(
+        kind == 1, F.concat(name, F.lit(',"a":1,"a":2}'))).otherwise(F.concat(name, F.lit(',"a":1}')))
+    bodies = (table(spark, sf_dir, "events", "user_id", "event_id").groupBy("user_id", page)
+              .agg(F.to_json(F.struct(F.collect_list(record).alias("results"))).alias("whole")))
+    cut = (F.col("user_id") + F.col("page")) % 7 == 3
+    bodies = bodies.withColumn("body", F.when(cut, F.expr("left(whole, length(whole) - 3)")).otherwise(F.col("whole")))
+    split = landing.split_bodies(bodies.select("user_id", "page", "body"), "body", "results")
+    records = landing.split_malformed(landing.unwrap(split.good, "body", "results"))
+    payload = landing.overlay_members(F.col("payload"), F.lit('{"extra":"x"}'))
+    what = F.when(F.get_json_object("payload", "$.extra") == "x", "enriched").when(
+        F.col("payload").isNotNull(), "kept as it came")
+    told = [split.quarantine.select(F.concat(F.lit("body "), F.col("reason")).alias("what")),
+            records.quarantine.select(F.concat(F.lit("record "), F.col("reason")).alias("what")),
+            records.good.withColumn("payload", payload).select(what.alias("what"))]
+    return told[0].unionByName(told[1]).unionByName(told[2]).groupBy("what").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("quarantine_split", """
 WITH tried AS (
   SELECT event_type, event_id % 50 = 7 AS cut,

@@ -114,6 +114,39 @@ def notes_apply(spark, sf_dir):
     return tracking.apply_notes(notes, valid).select("note_id", "note")
 
 
+@query("notes_lifecycle", """
+WITH valid AS (SELECT conv_id, turn, trim(text) AS note FROM conversations WHERE turn % 3 = 2 OR trim(text) <> ''),
+last_ AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS rn FROM valid) WHERE rn = 1)
+SELECT 'stored' AS kind, CAST(conv_id AS VARCHAR) AS note_id, 'p-' || CAST(conv_id AS VARCHAR) AS posting_id, note
+FROM last_ WHERE turn % 3 <> 2 AND conv_id IN (SELECT conv_id FROM valid WHERE turn = 0)
+UNION ALL
+SELECT 'blank', CAST(conv_id AS VARCHAR), NULL, NULL FROM conversations WHERE turn % 3 <> 2 AND coalesce(trim(text), '') = ''""")
+def notes_lifecycle(spark, sf_dir):
+    """First turns add notes, later ones edit or delete them in the same batch; blank texts are refused."""
+    turns = table(spark, sf_dir, "conversations", "conv_id", "turn", "text")
+    at = F.timestamp_seconds(F.col("turn"))
+    changes = turns.select(
+        F.col("conv_id").cast("string").alias("note_id"),
+        F.when(F.col("turn") == 0, F.concat(F.lit("p-"), F.col("conv_id").cast("string"))).alias("posting_id"),
+        F.col("text").alias("note"), at.alias("created_at"), at.alias("updated_at"),
+        F.when(F.col("turn") == 0, "INSERT").when(F.col("turn") % 3 == 2, "DELETE").otherwise("UPDATE").alias("op"))
+    valid, blank = tracking.note_changes(changes)
+    stored = tracking.apply_notes(changes.limit(0).drop("op"), valid)
+    missing = F.lit(None).cast("string")
+    return stored.select(F.lit("stored").alias("kind"), "note_id", "posting_id", "note").unionByName(
+        blank.select(F.lit("blank").alias("kind"), "note_id", missing.alias("posting_id"), missing.alias("note")))
+
+
+@query("notes_by_posting", """
+SELECT CAST(conv_id AS VARCHAR) AS note_id, text AS note FROM conversations WHERE turn = 1""")
+def notes_by_posting(spark, sf_dir):
+    """The notes of one posting, newest first; a turn's number stands for the posting."""
+    notes = table(spark, sf_dir, "conversations", "conv_id", "turn", "text").select(
+        F.col("conv_id").cast("string").alias("note_id"), F.col("turn").cast("string").alias("posting_id"),
+        F.col("text").alias("note"), F.timestamp_seconds(F.col("conv_id")).alias("created_at"))
+    return tracking.notes_for(notes, "1").select("note_id", "note")
+
+
 @query("hide_jobs", """
 SELECT CAST(user_id AS VARCHAR) AS posting_id,
   strftime(min(CASE WHEN event_type = 'view' THEN ts ELSE TIMESTAMP '1999-01-01' END), '%Y-%m-%d %H:%M:%S') AS hidden_at
@@ -473,20 +506,45 @@ def stream_upsert(spark, sf_dir):
         return r.groupBy("user_id").agg(
             F.max(F.struct("event_id", "event_type")).alias("newest"), F.count(F.lit(1)).alias("n"))
 
-    store.commit("users", per_user(spark.read.parquet(landed).limit(0)), number=0)
+    store.commit("users", per_user(spark.read.parquet(landed).limit(0)))
     rules = {"newest": merge.greatest, "n": lambda t, s: t + s}
     _run(streams.upsert_stream(files, store, "users", ["user_id"], rules,
                                scratch_path(spark, "checkpoint"), prepare=per_user))
     return store.read("users").select("user_id", "newest.event_id", "newest.event_type", "n")
 
 
+@query("stream_upsert_existing", """
+SELECT user_id, max(event_id) AS event_id, count(*) AS n FROM events GROUP BY 1""")
+def stream_upsert_existing(spark, sf_dir):
+    """A table with earlier commits takes a stream, then another one with a fresh checkpoint.
+
+    A third of the events is loaded in one batch, after an empty commit; each stream brings a third.
+    """
+    store = Snapshots(spark, scratch_path(spark, "stream-existing"))
+    rules = {"event_id": merge.greatest, "n": lambda t, s: t + s}
+
+    def per_user(batch):
+        return batch.groupBy("user_id").agg(F.max("event_id").alias("event_id"), F.count(F.lit(1)).alias("n"))
+
+    def third(k):
+        return F.col("event_id") % 3 == k
+
+    events = table(spark, sf_dir, "events", "event_id", "user_id")
+    store.commit("users", per_user(events.limit(0)))
+    store.commit("users", merge.merge_upsert(store.read("users"), per_user(events.filter(third(0))), ["user_id"], rules))
+    for k in (1, 2):
+        _run(streams.upsert_stream(_event_stream(spark, sf_dir).filter(third(k)), store, "users", ["user_id"], rules,
+                                   scratch_path(spark, "checkpoint"), prepare=per_user))
+    return store.read("users")
+
+
 @query("stream_daily", """
 SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2""")
 def stream_daily(spark, sf_dir):
     """Running counts per day and type; each update replaces the day's earlier count."""
     counts = streams.daily_counts(_event_stream(spark, sf_dir), "ts", ["event_type"], "40 days")
     store = Snapshots(spark, scratch_path(spark, "stream-daily"))
-    store.commit("daily", spark.createDataFrame([], "day date, event_type string, n bigint"), number=0)
+    store.commit("daily", spark.createDataFrame([], "day date, event_type string, n bigint"))
     _run(streams.upsert_stream(counts, store, "daily", ["day", "event_type"], {"n": merge.take_source},
                                scratch_path(spark, "checkpoint"), mode="update"))
     return store.read("daily")

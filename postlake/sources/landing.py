@@ -69,7 +69,8 @@ def unwrap(bodies: DataFrame, body: str = "body", member: str | None = None,
            out: str = "payload") -> DataFrame:
     """Response bodies to one row per record.
 
-    A body whose envelope has another type gives no rows rather than an error.
+    A body whose envelope has another type gives no rows rather than an error;
+    ``split_bodies`` sets it aside first.
     """
     listing = F.col(body) if member is None else F.get_json_object(body, f"$.{member}")
     records = F.from_json(listing, "array<string>")
@@ -77,6 +78,13 @@ def unwrap(bodies: DataFrame, body: str = "body", member: str | None = None,
     return bodies.select(*others, F.explode(records).alias(out))
 
 
+def split_bodies(bodies: DataFrame, body: str = "body", member: str | None = None) -> Split:
+    """Bodies that hold a list of records, and the cut off or misshapen ones."""
+    listing = F.col(body) if member is None else F.get_json_object(body, f"$.{member}")
+    lists = F.coalesce(F.ltrim(listing).startswith("["), F.lit(False))
+    return _split(bodies, ~(is_json(F.col(body)) & lists), "PARSE_ERROR")
+
+
 def assemble_details(listed: DataFrame, details: DataFrame, keys: list[str],
                      record: str = "payload") -> tuple[DataFrame, DataFrame]:
     """Details of listed ids, and the listed ids whose detail is missing.
@@ -130,7 +138,8 @@ def overlay_members(payload: Column, extra: Column) -> Column:
     """JSON object text with the members of another object put over its own.
 
     Both are read as maps of raw member text, so untouched members keep their
-    value; strings are the only members that need quoting again.
+    value; strings are the only members that need quoting again.  A payload that
+    can't be read so, cut off or with a repeated member, stays as it is.
     """
     merged = F.map_zip_with(
         _members(payload), _members(extra), lambda _, own, new: F.coalesce(new, own))
@@ -139,7 +148,8 @@ def overlay_members(payload: Column, extra: Column) -> Column:
         name = F.to_json(F.array(entry["key"]))  # a quoted name in brackets
         return F.concat(F.substring(name, F.lit(2), F.length(name) - 2), F.lit(":"), entry["value"])
 
-    return F.concat(F.lit("{"), F.array_join(F.transform(F.map_entries(merged), member), ","), F.lit("}"))
+    text = F.concat(F.lit("{"), F.array_join(F.transform(F.map_entries(merged), member), ","), F.lit("}"))
+    return F.coalesce(text, payload)
 
 
 def _members(payload: Column) -> Column:

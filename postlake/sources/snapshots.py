@@ -1,14 +1,18 @@
 """Parquet tables that can be replaced while being read.
 
 Each commit writes a new ``v=N`` folder; Spark's own ``_SUCCESS`` marker makes it
-visible, so a lost driver or executor leaves the previous snapshot current.  Two
-writers that pick the same number collide on the folder and one fails, which is
-all the mutual exclusion a run needs.
+visible, so a lost driver or executor leaves the previous snapshot current.  A
+table has one writer at a time; that is for the scheduler of the runs to see to.
+
+A commit made for a stream's micro-batch carries the stream and the batch in the
+folder's name, apart from the version: the marker makes both visible at once.
+A clean-up of old versions must leave the newest folder of each stream.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +20,8 @@ from pyspark.sql import functions as F
 
 from postlake.sources import schemas
 
+LABEL = re.compile(r"v=(\d+)(?:-b(\d+))?(?:-s([0-9a-f-]+)\.(\d+))?$")
+
 
 class Snapshots:
     """Named tables under one root folder.
@@ -41,9 +47,10 @@ class Snapshots:
         found = {}
         for status in fs.listStatus(base):
             label = status.getPath().getName()
-            if label.startswith("v="):
+            parts = LABEL.match(label)
+            if parts:
                 marker = jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-                found[int(label[2:].split("-")[0])] = (label, fs.exists(marker))
+                found[int(parts[1])] = (label, fs.exists(marker))
         return found
 
     def current(self, name: str) -> int | None:
@@ -59,8 +66,9 @@ class Snapshots:
             return schemas.empty(self.spark, name)
         label = complete[max(complete)]
         path = f"{self.root}/{name}/{label}"
-        if "-b" in label:
-            return self._bucketed(name, path, int(label.split("-b")[1]))
+        buckets = LABEL.match(label)[2]
+        if buckets:
+            return self._bucketed(name, path, int(buckets))
         reader = self.spark.read
         if name in schemas.TABLES:
             reader = reader.schema(schemas.TABLES[name])
@@ -78,27 +86,31 @@ class Snapshots:
             f"CLUSTERED BY ({key}) SORTED BY ({key}) INTO {buckets} BUCKETS LOCATION '{path}'")
         return self.spark.table(table)
 
-    def commit(self, name: str, df: DataFrame, number: int | None = None) -> DataFrame:
+    def last_batch(self, name: str, stream: str) -> int | None:
+        """The last micro-batch of a stream that a complete snapshot holds."""
+        parts = [LABEL.match(label) for label, done in self._folders(name).values() if done]
+        return max((int(p[4]) for p in parts if p[3] == stream), default=None)
+
+    def commit(self, name: str, df: DataFrame, batch: tuple[str, int] | None = None) -> DataFrame:
         """Write the next snapshot and return it.
 
-        With an explicit number, as a stream's batch id gives, a commit that is
-        already complete is kept and a half-written one is written again.
+        With a stream's id and batch number, a batch that a complete snapshot
+        already holds changes nothing; a half-written one is written again.
         """
-        folders = self._folders(name)
-        if number is None:
-            number, mode = max(folders, default=0) + 1, "errorifexists"
-        elif folders.get(number, ("", False))[1]:
-            return self.read(name)
-        else:
-            mode = "overwrite"
+        if batch is not None:
+            done = self.last_batch(name, batch[0])
+            if done is not None and done >= batch[1]:
+                return self.read(name)
+        number = max(self._folders(name), default=0) + 1
         path = f"{self.root}/{name}/v={number:010d}"
+        suffix = f"-s{batch[0]}.{batch[1]}" if batch is not None else ""
         if name in schemas.BUCKETED:
             key = schemas.BUCKETED[name]
-            path = f"{path}-b{self.buckets}"
+            path = f"{path}-b{self.buckets}{suffix}"
             (df.repartition(self.buckets, key).write.bucketBy(self.buckets, key).sortBy(key)
-             .mode(mode).option("path", path).saveAsTable(self._table(name, path)))
+             .mode("errorifexists").option("path", path).saveAsTable(self._table(name, path)))
         else:
-            df.write.mode(mode).option("partitionOverwriteMode", "static").parquet(path)
+            df.write.mode("errorifexists").parquet(f"{path}{suffix}")
         return self.read(name)
 
     def commit_all(self, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:

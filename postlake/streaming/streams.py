@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -50,16 +50,23 @@ def upsert_stream(records: DataFrame, store: Snapshots, table: str, keys: list[s
     """Merge every micro-batch into a snapshot table with the batch operator.
 
     ``prepare`` shapes a micro-batch first, for one to aggregate it by key.
-    The snapshot takes the batch's number, so a batch replayed after a failure
-    finds its commit done and changes nothing.
+    The snapshot carries the stream's id and the batch's number, so a batch
+    replayed after a failure finds its commit done and changes nothing, whatever
+    other commits the table has.  A stream with a new checkpoint has a new id and
+    applies all it reads.
     """
     def merge(batch: DataFrame, batch_id: int) -> None:
         merged = merge_upsert(store.read(table), prepare(batch), keys, update, order)
-        store.commit(table, merged, number=batch_id + 1)
+        store.commit(table, merged, batch=(stream_id(store.spark, checkpoint), batch_id))
 
     return _for_each(records, merge, checkpoint, mode)
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id Spark gave the stream when it made the checkpoint."""
+    return spark.read.schema("id string").json(f"{checkpoint}/metadata").first()["id"]
+
+
 def fact_stream(staged: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Merge staged fact rows into a fact table partitioned by posting month.
 

@@ -350,3 +350,16 @@ def test_profiles(spark):
                                 "target_roles": F.lit("not json")})
     row = parse(holes).first()
     assert (row.target_skills, row.min_salary, row.target_roles) == (["SQL", "Python"], 0.0, ["DE", "DA", "BI"])
+
+
+def test_notes_added_edited_and_deleted_in_one_batch(spark):
+    at = [datetime(2024, 1, 1, h) for h in range(4)]
+    schema = "note_id string, posting_id string, note string, created_at timestamp, updated_at timestamp, op string"
+    changes = spark.createDataFrame([
+        ("a", "p", "first", at[0], at[0], "INSERT"), ("a", None, "second", None, at[1], "UPDATE"),
+        ("b", "p", "gone", at[0], at[0], "INSERT"), ("b", None, None, None, at[0], "DELETE"),
+        ("c", None, "no such note", None, at[0], "UPDATE"),
+        ("d", None, "too early", None, at[0], "UPDATE"), ("d", "q", "kept", at[2], at[2], "INSERT")], schema)
+    got = tracking.apply_notes(changes.limit(0).drop("op"), changes).collect()
+    assert sorted((r.note_id, r.posting_id, r.note, r.created_at) for r in got) == [
+        ("a", "p", "second", at[0]), ("d", "q", "kept", at[2])]

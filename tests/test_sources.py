@@ -171,10 +171,12 @@ def test_snapshots(spark):
     # A table can be replaced by a frame that reads it.
     store.commit("dim_source", store.read("dim_source").filter("source_id = 'lever'"))
     assert store.read("dim_source").count() == 1
-    # A commit under a number that is done changes nothing.
-    number = store.current("dim_source")
-    store.commit("dim_source", schemas.seed_sources(spark), number=number)
-    assert store.read("dim_source").count() == 1
+    # A stream's batch that is done changes nothing; the next one, or another stream's, does.
+    for batch, rows in ((("0a", 0), 1), (("0a", 1), 5)):
+        store.commit("dim_source", schemas.seed_sources(spark).limit(rows), batch=batch)
+        store.commit("dim_source", schemas.seed_sources(spark).limit(3), batch=batch)
+        assert store.read("dim_source").count() == rows
+    assert store.commit("dim_source", schemas.seed_sources(spark).limit(2), batch=("0b", 0)).count() == 2
 
 
 def test_half_written_snapshot_is_not_seen(spark, tmp_path):
@@ -207,3 +209,17 @@ def test_export_heading_and_blanks(spark, tmp_path):
     again = export.write_tracker(full, str(tmp_path / "full"), AT)
     assert again.endswith("full-20240110000000")
     assert spark.read.option("header", True).csv(again).select(F.col("`Closing Date`")).first()[0] == "Not specified"
+
+
+def test_payloads_that_cannot_be_read_keep_their_text(spark):
+    texts = ['{"a":1', '{"a":1,"a":2}', '{"a":1}', None]
+    df = spark.createDataFrame([(t,) for t in texts], "payload string")
+    got = [r.p for r in df.select(landing.overlay_members(F.col("payload"), F.lit('{"b":2}')).alias("p")).collect()]
+    assert got == ['{"a":1', '{"a":1,"a":2}', '{"a":1,"b":2}', None]
+
+
+def test_cut_off_bodies_are_set_aside(spark):
+    bodies = ['{"jobs":[{"a":1}]}', '{"jobs":[{"a":1}', '{"jobs":{}}', '{}', None, '{"jobs":[]}']
+    split = landing.split_bodies(spark.createDataFrame([(b,) for b in bodies], "body string"), "body", "jobs")
+    assert [r.body for r in split.good.collect()] == [bodies[0], bodies[5]]
+    assert split.quarantine.filter("reason = 'PARSE_ERROR'").count() == 4

@@ -47,14 +47,17 @@ def test_upserts_equal_the_batch_result_and_replays_change_nothing(spark):
         return df.groupBy("who").agg(F.max("at").alias("last"), F.count(F.lit(1)).alias("n"))
 
     rules = {"last": merge.greatest, "n": lambda t, s: t + s}
-    store.commit("who", per_who(spark.createDataFrame([], SCHEMA)), number=0)
+    store.commit("who", per_who(spark.createDataFrame([], SCHEMA)))
+    store.commit("who", store.read("who"))   # the table has commits of its own, as many as the stream has batches
+    store.commit("who", store.read("who"))
     done(streams.upsert_stream(stream(spark, path), store, "who", ["who"], rules, mark, prepare=per_who))
     want = sorted(tuple(r) for r in per_who(spark.createDataFrame(rows, SCHEMA)).collect())
     assert sorted(tuple(r) for r in store.read("who").collect()) == want
     # A batch whose commit is done is not applied again.
-    last = store.current("who")
+    name = streams.stream_id(spark, mark)
+    last = store.last_batch("who", name)
     replay = merge.merge_upsert(store.read("who"), per_who(spark.createDataFrame(rows[:3], SCHEMA)), ["who"], rules)
-    store.commit("who", replay, number=last)
+    store.commit("who", replay, batch=(name, last))
     assert sorted(tuple(r) for r in store.read("who").collect()) == want
 
 
@@ -64,7 +67,7 @@ def test_daily_counts_drop_late_rows(spark):
     # The watermark a batch filters by is the one reached two batches before it.
     write_batches(spark, path, [(1, "a", START)], [(2, "a", START + timedelta(days=5))],
                   [(4, "a", START + timedelta(days=5, hours=1))], [(3, "a", START)])
-    store.commit("daily", spark.createDataFrame([], "day date, who string, n bigint"), number=0)
+    store.commit("daily", spark.createDataFrame([], "day date, who string, n bigint"))
     counts = streams.daily_counts(stream(spark, path), "at", ["who"], "1 day")
     done(streams.upsert_stream(counts, store, "daily", ["day", "who"], {"n": merge.take_source}, mark, mode="update"))
     assert sorted((str(r.day), r.n) for r in store.read("daily").collect()) == [("2024-01-01", 1), ("2024-01-06", 2)]
@@ -105,3 +108,16 @@ def test_fact_stream_equals_one_batch_merge(spark):
     # The first batch's two sightings of p4 are one staged row, the later one.
     assert got == sorted((tuple(r) for r in want.collect()), key=repr)
     assert empty(spark, "fact_job_posting").columns == columns("fact_job_posting")
+
+
+def test_a_fresh_checkpoint_is_another_stream(spark):
+    path = scratch_path(spark, "in")
+    store = Snapshots(spark, scratch_path(spark, "tables"))
+    write_batches(spark, path, [(1, "a", START)], [(2, "b", START)])
+    store.commit("who", spark.createDataFrame([], "who string, at timestamp"))
+    for _ in range(2):
+        mark = scratch_path(spark, "mark")
+        done(streams.upsert_stream(stream(spark, path).select("who", "at"), store, "who", ["who"],
+                                   {"at": merge.greatest}, mark))
+        assert store.last_batch("who", streams.stream_id(spark, mark)) == 1
+    assert sorted(r.who for r in store.read("who").collect()) == ["a", "b"] and store.current("who") == 5
