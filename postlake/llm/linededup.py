@@ -1,17 +1,19 @@
-"""Removal of repeated runs of lines by winnowing.
-
-Lines (cut at newlines, compared without white space around them; blank lines don't
-count) are hashed.  A window is the shortest run of lines from a line on, or up to a line,
-that has at least ``words`` words.  Winnowing selects the least line hash of each window
-as a fingerprint, so any repeated run of ``words`` words holds one, wherever it stands.
-Fingerprints that occur more than once are joined to their positions, and from each
-position the match is extended both ways by the windows around it: a window whose whole
-content occurred earlier is a repeat.  The lines of all repeats go; the earliest
-occurrence of each window stays.
+"""Removal of repeated runs of words by winnowing.
+
+Words are cut at white space, wherever the newlines are.  A window is any ``words`` words in
+a row.  Each window selects the least hash of the GRAM-word runs inside it (the last of
+equal ones) as its anchor, so equal windows have an equal anchor at an equal place, and
+neighbouring windows mostly share one: an anchor stands for a range of windows, and its
+stretch is all the words of these.  Anchors whose hash occurs more than once are compared by
+whole stretches first: a stretch that occurred earlier has only repeated windows.  What is
+left where a repeat begins and ends is compared window by window, that is word by word.
+The words of all windows that occurred earlier go; the earliest occurrence of each stays.
 """
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame
@@ -21,129 +23,200 @@ from pyspark.sql import types as T
 from postlake.llm.common import as_table, map_batches, shipped, stored
 
 WORDS = 50
-LINES = T.StructType([T.StructField("row", T.LongType()), T.StructField("doc_id", T.LongType()),
-                      T.StructField("hashes", T.ArrayType(T.LongType())), T.StructField("counts", T.ArrayType(T.IntegerType())),
-                      T.StructField("places", T.ArrayType(T.IntegerType())), T.StructField("prints", T.ArrayType(T.LongType()))])
+GRAM = 20  # words of an anchor
+CACHE = 500_000  # words whose hashes a task remembers
+BASE = np.uint64(0x9E3779B97F4A7C15)
+WORD = re.compile(r"\S+")
+ANCHORS = T.StructType([T.StructField("row", T.LongType()), T.StructField("doc_id", T.LongType()),
+                        T.StructField("anchors", T.ArrayType(T.StructType([
+                            T.StructField("print", T.LongType()), T.StructField("content", T.LongType()),
+                            T.StructField("lo", T.IntegerType()), T.StructField("hi", T.IntegerType())])))])
 WINDOWS = T.StructType([T.StructField("row", T.LongType()), T.StructField("doc_id", T.LongType()),
-                        T.StructField("content", T.LongType()), T.StructField("start", T.IntegerType()),
-                        T.StructField("end", T.IntegerType())])
+                        T.StructField("windows", T.ArrayType(T.StructType([
+                            T.StructField("content", T.LongType()), T.StructField("start", T.IntegerType())])))])
 
 
-def line_values(text: str) -> tuple[list[int], list[int], list[int]]:
-    """Hash, words and place of each line that is not blank."""
-    hashes, counts, places = [], [], []
-    for place, line in enumerate(text.split("\n")):
-        line = line.strip()
-        if line:
-            hashes.append(xxhash.xxh3_64_intdigest(line.encode("utf-8", "replace")))
-            counts.append(len(line.split()))
-            places.append(place)
-    return hashes, counts, places
+class WordHashes(dict):
+    def __missing__(self, word: str) -> int:
+        if len(self) >= CACHE:
+            self.clear()
+        made = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "replace"))
+        return made
+
+
+class Rolling:
+    """Hashes of any runs of words of a text, from sums of word hashes times powers of BASE."""
+
+    def __init__(self, text: str, known: WordHashes):
+        words = text.split()
+        self.n = len(words)
+        hashes = np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=self.n)
+        self.powers = np.concatenate([np.ones(1, dtype=np.uint64), np.cumprod(np.full(self.n, BASE), dtype=np.uint64)])
+        self.sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(hashes * self.powers[:-1], dtype=np.uint64)])
+
+    def runs(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Hash of the words from each start to before each end."""
+        made = (self.sums[ends] - self.sums[starts]) * self.powers[self.n - starts]  # one power for all places
+        return made * inverse_power(self.n)
 
 
-def windows(counts: list[int], words: int) -> list[tuple[int, int]]:
-    """First and last line of each window, forward and backward, without repeats."""
-    sums = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
-    n = len(counts)
-    ends = np.searchsorted(sums, sums[:n] + words, side="left") - 1  # forward from each line
-    starts = np.searchsorted(sums, sums[1:] - words, side="right") - 1  # back from each line
-    found = {(i, int(ends[i])) for i in range(n) if ends[i] < n}
-    found |= {(int(starts[j]), j) for j in range(n) if sums[j + 1] >= words}
-    return sorted(found)
+def inverse_power(n: int) -> np.uint64:
+    """BASE to the power of -n, modulo 2^64."""
+    return np.uint64(pow(int(BASE), -n, 1 << 64))
 
 
-def winnowed(hashes: list[int], spans: list[tuple[int, int]]) -> set[int]:
-    """The positions of the least hash of each window; the last of equal ones."""
-    picked = set()
-    for a, b in spans:
-        least = min(hashes[a:b + 1])
-        picked.add(b - hashes[a:b + 1][::-1].index(least))
-    return picked
+def mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
 
 
-def signed(values) -> list[int]:
-    return np.array(values, dtype=np.uint64).astype(np.int64).tolist()
+def anchors(rolling: Rolling, words: int) -> tuple[np.ndarray, ...]:
+    """Hash, stretch hash, first and last window of each anchor of a text."""
+    gram = min(GRAM, words)
+    n = rolling.n - words + 1  # windows
+    if n <= 0:
+        return (np.zeros(0, dtype=np.uint64),) * 2 + (np.zeros(0, dtype=np.int64),) * 2
+    places = np.arange(rolling.n - gram + 1)
+    grams = mixed(rolling.runs(places, places + gram))
+    width = words - gram + 1
+    view = np.lib.stride_tricks.sliding_window_view(grams[::-1], width)  # reversed: argmin gives the last of equal ones
+    at = len(grams) - 1 - (np.arange(n) + view.argmin(axis=1))
+    at = at[::-1]
+    lo = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+    hi = np.concatenate([lo[1:], [n]]) - 1
+    at = at[lo]
+    content = mixed(mixed(rolling.runs(lo, hi + words)) + (hi - lo).astype(np.uint64) * np.uint64(0x100000001B3) + (at - lo).astype(np.uint64))
+    return grams[at], content, lo, hi
+
+
+def structs(**columns: np.ndarray) -> list[dict]:
+    return [dict(zip(columns, values)) for values in zip(*(c.tolist() for c in columns.values()))]
 
 
 def repeats(docs: DataFrame, words: int) -> DataFrame:
-    """``row, removed``: the places of the lines that repeat an earlier run.
+    """``row, spans``: the runs of words (first, last) that repeat an earlier run, in order.
 
     ``docs`` has ``row`` (unique), ``doc_id`` and ``text``; earlier means by ``doc_id``
     (nulls first), ``row`` and place.
     """
     def read(rows, keys, texts):
-        out: dict[str, list] = {f.name: [] for f in LINES}
-        for row, key, text in zip(rows.to_pylist(), keys.to_pylist(), texts.to_pylist()):
-            hashes, counts, places = line_values(text or "")
-            picked = sorted(winnowed(hashes, windows(counts, words)))
-            for name, value in zip(out, (row, key, signed(hashes), counts, places, signed([hashes[i] for i in picked]))):
-                out[name].append(value)
-        return out
-
-    lines = stored(map_batches(docs.select("row", "doc_id", "text"), read, LINES), "lines")
-    prints = lines.select("row", F.explode("prints").alias("print"))
-    shared = prints.groupBy("print").agg(F.count("*").alias("n")).where("n > 1").select("print")
-    hits = prints.join(shared, "print").groupBy("row").agg(F.collect_set("print").alias("shared"))  # of one document's lines
-
-    def extend(rows, keys, hashes, counts, shared):
-        out: dict[str, list] = {f.name: [] for f in WINDOWS}
-        for row, key, h, c, s in zip(rows.to_pylist(), keys.to_pylist(), hashes.to_pylist(), counts.to_pylist(), shared.to_pylist()):
-            array = np.array(h, dtype=np.int64)
-            marked = np.concatenate([[0], np.cumsum(np.isin(array, s))])
-            for a, b in windows(c, words):
-                if marked[b + 1] > marked[a]:
-                    for name, value in zip(out, (row, key, signed([xxhash.xxh3_64_intdigest(array[a:b + 1].tobytes())])[0], a, b)):
-                        out[name].append(value)
-        return out
-
-    found = stored(map_batches(lines.join(hits, "row").select("row", "doc_id", "hashes", "counts", "shared"), extend, WINDOWS), "windows")
-    order = F.struct(F.col("doc_id").isNotNull().alias("named"), "doc_id", "row", "start", "end")
-    first = (found.groupBy("content").agg(F.min(order).alias("first"), F.count("*").alias("n")).where("n > 1")
-             .select("content", F.col("first.row").alias("first_row"), F.col("first.end").alias("first_end")))
-    later = found.join(first, "content").where((F.col("row") != F.col("first_row")) | (F.col("start") > F.col("first_end")))
-    spans = later.groupBy("row").agg(F.collect_set(F.struct("start", "end")).alias("spans"))  # of one document's lines
-
-    schema = T.StructType([T.StructField("row", T.LongType()), T.StructField("removed", T.ArrayType(T.IntegerType()))])
-
-    def cover(rows, places, spans):
-        out = []
-        for place, found in zip(places.to_pylist(), spans.to_pylist()):
-            gone = np.zeros(len(place) + 1, dtype=np.int64)
-            for span in found:
-                gone[span["start"]] += 1
-                gone[span["end"] + 1] -= 1
-            out.append([p for p, n in zip(place, np.cumsum(gone)) if n > 0])
-        return {"row": rows, "removed": out}
-
-    return map_batches(spans.join(lines.select("row", "places"), "row").select("row", "places", "spans"), cover, schema)
-
-
-def cut(text: str | None, removed: list[int] | None) -> str | None:
-    if text is None or not removed:
-        return text
-    gone = set(removed)
-    return "\n".join(line for i, line in enumerate(text.split("\n")) if i not in gone)
+        known, made = WordHashes(), []
+        for text in texts.to_pylist():
+            prints, content, lo, hi = anchors(Rolling(text or "", known), words)
+            made.append(structs(print=prints.view(np.int64), content=content.view(np.int64), lo=lo, hi=hi))
+        return {"row": rows, "doc_id": keys, "anchors": made}
+
+    found = stored(map_batches(docs.select("row", "doc_id", "text"), read, ANCHORS), "anchors").select("row", "doc_id", F.inline("anchors"))
+    shared = found.groupBy("print").agg(F.count("*").alias("n")).where("n > 1").select("print")
+    hits = stored(found.join(shared, "print"), "hits")
+
+    order = F.struct(F.col("doc_id").isNotNull().alias("named"), "doc_id", "row", F.col("lo").alias("at"))
+    first = hits.groupBy("content").agg(F.min(order).alias("first")).select(
+        "content", F.col("first.row").alias("first_row"), F.col("first.at").alias("first_at"))
+    marked = stored(hits.join(first, "content").select("row", "doc_id", "print", "lo", "hi", (
+        (F.col("row") != F.col("first_row")) | (F.col("lo") >= F.col("first_at") + words)).alias("later")), "marked")
+    whole = marked.where("later").select("row", F.col("lo").alias("first"), (F.col("hi") + words - 1).alias("last"))
+
+    edges = marked.where("not later").select("row", "print", "lo", "hi")
+    several = edges.groupBy("print").agg(F.count("*").alias("n")).where("n > 1").select("print")
+    ranges = edges.join(several, "print").groupBy("row").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))  # of one document
+
+    def expand(rows, keys, texts, ranges):
+        known, made = WordHashes(), []
+        for text, spans in zip(texts.to_pylist(), ranges.to_pylist()):
+            rolling = Rolling(text, known)
+            starts = np.concatenate([np.arange(s["lo"], s["hi"] + 1) for s in spans])
+            content = mixed(rolling.runs(starts, starts + words))
+            made.append(structs(content=content.view(np.int64), start=starts))
+        return {"row": rows, "doc_id": keys, "windows": made}
+
+    opened = docs.join(ranges, "row").select("row", "doc_id", "text", "ranges")
+    each = stored(map_batches(opened, expand, WINDOWS), "windows").select("row", "doc_id", F.inline("windows"))
+    order = F.struct(F.col("doc_id").isNotNull().alias("named"), "doc_id", "row", "start")
+    first = (each.groupBy("content").agg(F.min(order).alias("first"), F.count("*").alias("n")).where("n > 1")
+             .select("content", F.col("first.row").alias("first_row"), F.col("first.start").alias("first_start")))
+    later = each.join(first, "content").where((F.col("row") != F.col("first_row")) | (F.col("start") >= F.col("first_start") + words))
+    spans = whole.union(later.select("row", F.col("start").alias("first"), (F.col("start") + words - 1).alias("last")))
+    gathered = spans.groupBy("row").agg(F.collect_set(F.struct("first", "last")).alias("spans"))  # of one document
+
+    schema = T.StructType([T.StructField("row", T.LongType()), T.StructField("spans", T.ArrayType(T.StructType([
+        T.StructField("first", T.IntegerType()), T.StructField("last", T.IntegerType())])))])
+
+    def cover(rows, spans):
+        return {"row": rows, "spans": [merged([(s["first"], s["last"]) for s in one]) for one in spans.to_pylist()]}
+
+    return map_batches(gathered, cover, schema)
+
+
+def merged(spans: list[tuple[int, int]]) -> list[dict]:
+    """The same words as runs that neither overlap nor touch."""
+    out: list[dict] = []
+    for first, last in sorted(spans):
+        if out and first <= out[-1]["last"] + 1:
+            out[-1]["last"] = max(out[-1]["last"], last)
+        else:
+            out.append({"first": first, "last": last})
+    return out
+
+
+def cut(text: str | None, spans: list[dict] | None) -> tuple[str | None, list[int] | None]:
+    """The text without the runs of words, and the places of the lines that lost all their words.
+
+    A line that keeps a word stays without the words (and the white space after them, or
+    before them at its end); lines without words stay.
+    """
+    if text is None or not spans:
+        return text, None
+    gone, n = iter(spans), 0  # n: words before
+    span = next(gone)
+    out, removed = [], []
+    for place, line in enumerate(text.split("\n")):
+        words, keep = list(WORD.finditer(line)), []
+        for _ in words:
+            while span is not None and span["last"] < n:
+                span = next(gone, None)
+            keep.append(span is None or n < span["first"])
+            n += 1
+        if all(keep):
+            out.append(line)
+        elif not any(keep):
+            removed.append(place)
+        else:
+            parts, at = [], 0
+            for i, word in enumerate(words):
+                if not keep[i]:
+                    parts.append(line[at:word.start()])
+                    at = words[i + 1].start() if i + 1 < len(words) else word.end()
+            made = "".join(parts) + line[at:]
+            out.append(made if keep[-1] else made.rstrip())
+    return "\n".join(out), removed
 
 
 def dedup_lines(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """The documents without repeated runs of lines, with ``_removed`` (places of lines, null if none).
-
-    All rows stay, with their columns; ``text`` is cut.  Null and empty texts stay as they
-    are; texts of fewer words than ``words`` have no window; null keys count as earliest, repeated
-    rows as later copies; an empty table gives no rows.  Rows are told apart by their place
-    in the scan (anything but a plain table is written first).
+    """The documents without repeated runs of words, with ``_removed`` and ``_spans``.
+
+    ``_spans`` are the runs of words that went (first and last, counted from 0), ``_removed``
+    the places of the lines that went whole; both are null if nothing went.  All rows stay,
+    with their columns; ``text`` is cut.  Null and empty texts stay as they are; texts of
+    fewer words than ``words`` have no window; null keys count as earliest, repeated rows as
+    later copies; an empty table gives no rows.  Rows are told apart by their place in the
+    scan (anything but a plain table is written first).
     """
     shipped(docs.sparkSession)
     numbered = as_table(docs).withColumn("_row", F.monotonically_increasing_id())
     gone = repeats(numbered.select(F.col("_row").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text"), words)
-    joined = numbered.join(gone.select(F.col("row").alias("_row"), F.col("removed").alias("_removed")), "_row", "left").drop("_row")
+    joined = (numbered.join(gone.select(F.col("row").alias("_row"), F.col("spans").alias("_spans")), "_row", "left").drop("_row")
+              .withColumn("_removed", F.lit(None).cast("array<int>")))
 
     def run(batches):
         import pyarrow as pa
         for batch in batches:
-            at, by = batch.schema.get_field_index("text"), batch.schema.get_field_index("_removed")
+            at, by, lines = (batch.schema.get_field_index(c) for c in ("text", "_spans", "_removed"))
             columns = list(batch.columns)
-            columns[at] = pa.array([cut(t, r) for t, r in zip(columns[at].to_pylist(), columns[by].to_pylist())], type=pa.string())
+            made = [cut(t, s) for t, s in zip(columns[at].to_pylist(), columns[by].to_pylist())]
+            columns[at] = pa.array([t for t, _ in made], type=pa.string())
+            columns[lines] = pa.array([r for _, r in made], type=batch.schema.field(lines).type)
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
     return joined.mapInArrow(run, joined.schema)
@@ -152,5 +225,5 @@ def dedup_lines(docs: DataFrame, words: int = WORDS) -> DataFrame:
 def without_repeats(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """The same with only the columns of ``docs``, and ``n_chars`` of the new text."""
     made = dedup_lines(docs, words)
-    return made.withColumn("n_chars", F.when(F.col("_removed").isNull(), F.col("n_chars")).otherwise(
+    return made.withColumn("n_chars", F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(
         F.char_length("text")).cast(docs.schema["n_chars"].dataType)).select(*docs.columns)

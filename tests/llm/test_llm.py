@@ -211,6 +211,43 @@ def test_repeated_passages_go(docs, none):
     assert rows[0]._removed == [2, 3, 4]  # the first window of two lines stays
 
 
+def brute_repeats(items, words):
+    """Places of the words in windows that occurred earlier; items in order."""
+    first, gone = {}, []
+    for k, text in enumerate(items):
+        own, mine = text.split(), set()
+        for i in range(len(own) - words + 1):
+            row, at = first.setdefault(tuple(own[i:i + words]), (k, i))
+            if row != k or i >= at + words:
+                mine.update(range(i, i + words))
+        gone.append(mine)
+    return gone
+
+
+def test_repeats_go_wherever_the_newlines_are(spark):
+    passage = prose(400, 60)
+    wrapped = passage.split()
+    items = [prose(401, 30) + " " + passage + " " + prose(402, 30),  # inside one long line
+             prose(403, 9) + " " + "\n".join(" ".join(wrapped[i:i + 7]) for i in range(0, 60, 7)) + " " + prose(404, 9),
+             "\n".join([prose(405, 5), prose(406, 3) + " " + " ".join(wrapped[:49]) + " x", ""])]  # 49 words stay
+    draw = random.Random(11)
+    pool = [prose(500 + i, 150).split() for i in range(6)]
+    for i in range(80):
+        mine = []
+        for _ in range(draw.randrange(1, 5)):
+            a = draw.randrange(100)
+            mine += draw.choice(pool)[a:a + draw.randrange(30, 70)] + prose(600 + i, draw.randrange(4)).split()
+        items.append("".join(w + draw.choice([" ", " ", "  ", "\n"]) for w in mine))
+    items += [" ".join(["again"] * 170), "a b c " * 60, items[0]]
+    rows = linededup.dedup_lines(spark.createDataFrame(list(enumerate(items)), "doc_id long, text string").repartition(3)).collect()
+    got = {r.doc_id: r for r in rows}
+    for i, gone in enumerate(brute_repeats(items, 50)):
+        assert {w for s in got[i]._spans or [] for w in range(s["first"], s["last"] + 1)} == gone
+        assert got[i].text.split() == [w for k, w in enumerate(items[i].split()) if k not in gone]
+    assert got[0].text == items[0] and got[2].text == items[2] and got[1]._removed == list(range(1, 8))
+    assert got[1].text == prose(403, 9) + "\n" + prose(404, 9)
+
+
 def test_shards_are_even_and_keep_copies_together(spark, docs, none):
     got = sharding.shard_documents(docs, 4).collect()
     assert len(got) == docs.count() and sharding.shard_documents(none).count() == 0
