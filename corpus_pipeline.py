@@ -6,12 +6,15 @@ toxicity -> lines -> near_duplicates -> secrets -> packing.  A stage takes
 
 from __future__ import annotations
 
+import warnings
+
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from postlake.llm import linededup, neardup, packing, secrets, toxicity
 from postlake.llm.common import stored, table
 
+observed: dict[str, Observation] = {}  # of the last run of a stage
 ORACLE_SQL = None  # scores, fitted patterns and token ids are beyond SQL; tests/llm holds run() against brute force
 
 
@@ -32,7 +35,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets, also encoded ones, are masked; all documents stay."""
-    return secrets.mask_documents(docs)
+    observed["secrets"] = Observation()
+    return secrets.mask_documents(docs, refused=observed["secrets"])
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,4 +57,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), name)
+        if name == "secrets" and (cut := observed[name].get["n_refused"]):
+            warnings.warn(f"secrets: {cut} unbroken runs in inflated streams were cut at {secrets.INFLATED_BYTES} bytes")
     return docs

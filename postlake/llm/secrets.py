@@ -2,8 +2,11 @@
 
 Each text starts a worklist.  A layer is scanned for secrets, then unwrapped: the whole
 layer with its percent escapes decoded, the whole layer with its ``\\u`` escapes decoded,
-and each base64 run decoded on its own (and inflated when it holds a zlib, gzip, bzip2 or
-zstandard stream).  New layers go on the worklist until none is left; a layer that was
+and each base64 run decoded on its own, at each of the four places its groups can start.
+Text in the bytes is a layer; zlib, gzip, bzip2 and zstandard streams in them are inflated,
+all members and frames in a row, and so are the streams inside, until text is reached;
+large ones in pieces cut where no match can lie across.
+New layers go on the worklist until none is left; a layer that was
 seen before in the same document is not scanned again, which also ends cycles.  Each
 character of a layer carries the span of the original text it came from, so every find
 is reported, and can be masked, in the original text.
@@ -18,9 +21,12 @@ import hashlib
 import re
 import urllib.parse
 import zlib
+from collections import deque
+from collections.abc import Iterable, Iterator
+from itertools import chain, islice
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,7 +44,11 @@ ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 MAGIC = ((b"\x1f\x8b", "gzip"), (b"x\x01", "zlib"), (b"x^", "zlib"), (b"x\x9c", "zlib"), (b"x\xda", "zlib"),
          (b"BZh", "bzip2"), (b"\x28\xb5\x2f\xfd", "zstd"))
-INFLATED_BYTES = 64 << 20  # a stream that inflates beyond this is left packed and counted in ``n_refused``
+INFLATED_BYTES = 64 << 20  # a stream beyond this is read in pieces; an unbroken run beyond it is cut and counted in ``n_refused``
+PIECE_BYTES, OVERLAP, LARGE = 8 << 20, 4096, 1 << 20
+STREAM = re.compile(rb"\x1f\x8b\x08|x[\x01^\x9c\xda]|BZh[1-9]1AY&SY|\x28\xb5\x2f\xfd")  # where a stream may begin
+STRETCH = re.compile(rb"(?:[\t\r\n\x20-\x7e]|[\xc2-\xdf][\x80-\xbf]|[\xe0-\xef][\x80-\xbf]{2}|[\xf0-\xf4][\x80-\xbf]{3}){12,}")  # no find is shorter
+APART = re.compile(rb"[^A-Za-z0-9+/_.=%:\"'\\ \x80-\xff-]")  # bytes that no match and no encoded run can hold
 
 FOUND = T.ArrayType(T.StructType([
     T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()),
@@ -59,22 +69,123 @@ def scan(text: str) -> list[Span]:
     return spans
 
 
-def inflate(data: bytes) -> bytes | None:
-    """The content of a compressed stream; None if it is none, or b"" if it is too large."""
-    kind = next((k for magic, k in MAGIC if data.startswith(magic)), None)
-    if kind is None:
-        return None
-    try:
-        if kind == "bzip2":
-            made = bz2.BZ2Decompressor().decompress(data, INFLATED_BYTES + 1)
-        elif kind == "zstd":
-            import zstandard
-            made = zstandard.ZstdDecompressor().stream_reader(data).read(INFLATED_BYTES + 1)
+def magic(data: bytes) -> str | None:
+    return next((k for m, k in MAGIC if data.startswith(m)), None)
+
+
+def opened(kind: str):
+    if kind == "bzip2":
+        return bz2.BZ2Decompressor()
+    if kind == "zstd":
+        import zstandard
+        return zstandard.ZstdDecompressor().decompressobj()
+    return zlib.decompressobj(47)
+
+
+def cut_up(data: bytes) -> Iterator[bytes]:
+    return (data[i:i + 1024] for i in range(0, len(data), 1024))
+
+
+def members(chunks: Iterable[bytes], rest: list) -> Iterator[bytes]:
+    """The content of all streams in a row, in small chunks; what follows them is put in ``rest``.
+
+    A stream that breaks off or turns out broken gives what came before.
+    """
+    chunks, stream, kept = iter(chunks), None, b""
+    for chunk in chunks:
+        for kept in [kept + chunk] if stream is None else cut_up(chunk):
+            while kept:
+                if stream is None:
+                    kept = kept.lstrip(b"\0")  # padding between members
+                    while len(kept) < 8 and (more := next(chunks, b"")):
+                        kept += more
+                    if kept[1:4] == b"\x2a\x4d\x18" and kept[0] >> 4 == 5:  # a zstandard frame to be skipped
+                        end = 8 + int.from_bytes(kept[4:8], "little")
+                        while len(kept) < end and (more := next(chunks, b"")):
+                            kept += more
+                        kept = kept[end:]
+                        continue
+                    kind = magic(kept)
+                    if kind is None:
+                        if kept:
+                            rest.append(chain([kept], chunks))
+                        return
+                    stream = opened(kind)
+                now, kept = kept[:1024], kept[1024:]
+                try:
+                    made = stream.decompress(now, 1 << 20) if kind == "bzip2" else stream.decompress(now)
+                    if made:
+                        yield made
+                    while kind == "bzip2" and not stream.eof and not stream.needs_input:
+                        yield stream.decompress(b"", 1 << 20)
+                except Exception:
+                    return
+                if stream.eof:
+                    kept, stream = stream.unused_data + kept, None
+
+
+def pieces(chunks: Iterable[bytes]) -> Iterator[tuple[bytes, bool]]:
+    """The bytes in pieces of bounded size, and whether a run had to be cut at the end of one."""
+    held: list[bytes] = []
+    size = due = 0
+    for chunk in chunks:
+        held.append(chunk)
+        size += len(chunk)
+        due += len(chunk)
+        if due >= PIECE_BYTES:
+            whole, due = b"".join(held), 0
+            at = next((m.start() for w in (1 << 12, 1 << 16, PIECE_BYTES, len(whole)) for m in reversed(list(
+                islice(APART.finditer(whole, max(0, len(whole) - w)), 1 << 16)))), None)
+            if at is not None:
+                yield whole[:at + 1], False
+                whole = whole[at + 1:]
+            elif size > INFLATED_BYTES:
+                yield whole, True
+                whole = whole[-OVERLAP:]
+            held, size = [whole], len(whole)
+    if size:
+        yield b"".join(held), False
+
+
+def content(data: bytes) -> Iterator[tuple[bytes, int, bool]]:
+    """What the streams in ``data`` hold in the end: bytes, how many streams deep, and whether a run was cut."""
+    todo, seen = [(data, 0)], set()
+    while todo:
+        data, level = todo.pop()
+        mark = hashlib.sha1(data).digest()
+        if mark in seen:  # also a stream that inflates to itself
+            continue
+        seen.add(mark)
+        if level and not magic(data):
+            yield from ((piece, level, over) for piece, over in pieces([data]))
+            continue
+        rest: list = []
+        chunks, made, size = members(cut_up(data), rest), [], 0
+        for chunk in chunks:
+            made.append(chunk)
+            size += len(chunk)
+            if size > INFLATED_BYTES:
+                yield from streamed(chain(made, chunks), level + 1, seen)
+                break
         else:
-            made = zlib.decompressobj(47).decompress(data, INFLATED_BYTES + 1)
-    except Exception:
-        return None
-    return made if len(made) <= INFLATED_BYTES else b""
+            todo.append((b"".join(made), level + 1))
+        todo += [(b"".join(more), level + 1) for more in rest]
+
+
+def streamed(chunks: Iterator[bytes], level: int, seen: set) -> Iterator[tuple[bytes, int, bool]]:
+    """The same for a stream that is too large to hold."""
+    first = next(chunks, b"")
+    while len(first) < 1 << 16 and (more := next(chunks, b"")):
+        first += more
+    mark = hashlib.sha1(first).digest()
+    if magic(first) is None:
+        yield from ((piece, level, over) for piece, over in pieces(chain([first], chunks)))
+    elif mark not in seen:
+        seen.add(mark)
+        rest: list = []
+        yield from streamed(members(chain([first], chunks), rest), level + 1, seen)
+        for more in rest:
+            yield from streamed(iter(more), level + 1, seen)
 
 
 def readable(data: bytes) -> str | None:
@@ -113,39 +224,48 @@ class Layer:
         return Layer("".join(out), np.concatenate([*starts, self.starts[at:]]),
                      np.concatenate([*ends, self.ends[at:]]), self.depth + 1)
 
-    def unwrapped(self) -> tuple[list[Layer], int]:
-        """The layers directly inside, and how many streams were too large."""
-        inside, refused = [], 0
+    def decoded(self, found: str, at: int, first: int) -> Layer:
+        """Text from byte ``first`` on of the base64 groups that start at ``at``."""
+        sizes = np.array([len(c.encode()) for c in found])
+        last = first + np.cumsum(sizes) - 1
+        start = last - sizes + 1
+        # byte i comes from characters 4 * (i // 3) + i % 3 and the next one
+        return Layer(found, self.starts[at + 4 * (start // 3) + start % 3], self.ends[at + 4 * (last // 3) + last % 3 + 1], self.depth + 1)
+
+    def unwrapped(self) -> Iterator[tuple[Layer | None, int]]:
+        """The layers directly inside, and for each how many runs were cut."""
         text = self.text
         if "%" in text:
-            inside.append(self.replaced(PERCENT, lambda s: urllib.parse.unquote_to_bytes(s).decode("utf-8", "replace")))
+            yield self.replaced(PERCENT, lambda s: urllib.parse.unquote_to_bytes(s).decode("utf-8", "replace")), 0
         if "\\u" in text:
-            inside.append(self.replaced(ESCAPE, lambda s: chr(int(s[2:], 16))))
+            yield self.replaced(ESCAPE, lambda s: chr(int(s[2:], 16))), 0
         for m in BASE64.finditer(text):
-            run = m[0].rstrip("=").replace("-", "+").replace("_", "/")
-            run = run[:len(run) - (len(run) % 4 == 1)]
-            try:
-                data = base64.b64decode(run + "=" * (-len(run) % 4))
-            except (binascii.Error, ValueError):
-                continue
-            made = inflate(data)
-            refused += made == b""
-            found = readable(data if made is None else made)
-            if found is None:
-                continue
-            a, b = m.span()
-            if made is None:  # byte i comes from characters 4 * (i // 3) + i % 3 and the next one
-                sizes = np.array([len(c.encode()) for c in found])
-                first = np.cumsum(sizes) - sizes
-                last = first + sizes - 1
-                lo = a + 4 * (first // 3) + first % 3
-                hi = a + 4 * (last // 3) + last % 3 + 1
-                starts, ends = self.starts[lo], self.ends[hi]
-            else:
-                starts = np.full(len(found), self.starts[a:b].min())
-                ends = np.full(len(found), self.ends[a:b].max())
-            inside.append(Layer(found, starts, ends, self.depth + 1))
-        return [x for x in inside if x is not None], refused
+            whole = m[0].rstrip("=").replace("-", "+").replace("_", "/")
+            for phase in range(4):
+                run = whole[phase:]
+                run = run[:len(run) - (len(run) % 4 == 1)]
+                try:
+                    data = base64.b64decode(run + "=" * (-len(run) % 4))
+                except (binascii.Error, ValueError):
+                    continue
+                a, b = m.start() + phase, m.end()
+                plain = readable(data)
+                if plain is not None:
+                    yield self.decoded(plain, a, 0), 0
+                else:
+                    for part in STRETCH.finditer(data):
+                        try:
+                            yield self.decoded(part[0].decode("utf-8"), a, part.start()), 0
+                        except UnicodeDecodeError:  # surrogates and the like
+                            continue
+                for begin in STREAM.finditer(data):
+                    at = begin.start()
+                    lo = a + 4 * (at // 3) + at % 3
+                    for made, level, over in content(data[at:]):
+                        found = readable(made)
+                        yield None if found is None else Layer(
+                            found, np.broadcast_to(self.starts[lo:b].min(), len(found)),
+                            np.broadcast_to(self.ends[lo:b].max(), len(found)), self.depth + level), int(over)
 
 
 def worklist(text: str) -> tuple[list[tuple[Span, int]], int]:
@@ -155,22 +275,31 @@ def worklist(text: str) -> tuple[list[tuple[Span, int]], int]:
     """
     depth = {span: 0 for span in scan(text)}
     refused = 0
-    if "%" in text or "\\u" in text or BASE64.search(text):
-        place = np.arange(len(text), dtype=np.int64)
-        todo = [Layer(text, place, place + 1, 0)]
-        seen = {hashlib.sha1(text.encode("utf-8", "replace")).digest()}
+    seen = {hashlib.sha1(text.encode("utf-8", "replace")).digest()}
+
+    def visit(top: Layer) -> None:
+        nonlocal refused
+        todo = deque([top])
         while todo:
-            inside, over = todo.pop().unwrapped()
-            refused += over
-            for layer in inside:
+            for layer, over in todo.popleft().unwrapped():
+                refused += over
+                if layer is None:
+                    continue
                 # the same text can come from two places: both are kept, a text inside itself is not
                 mark = hashlib.sha1(layer.text.encode("utf-8", "replace") + b"\0%d:%d" % (
                     int(layer.starts[0]) if layer.text else 0, int(layer.ends[-1]) if layer.text else 0)).digest()
                 if mark not in seen:
                     seen.add(mark)
                     for span in layer.spans():
-                        depth.setdefault(span, layer.depth)
-                    todo.append(layer)
+                        depth[span] = min(layer.depth, depth.get(span, layer.depth))
+                    if len(layer.text) > LARGE:
+                        visit(layer)  # at once, so that large layers don't wait side by side
+                    else:
+                        todo.append(layer)
+
+    if "%" in text or "\\u" in text or BASE64.search(text):
+        place = np.arange(len(text), dtype=np.int64)
+        visit(Layer(text, place, place + 1, 0))
     return sorted(depth.items(), key=lambda s: (s[0][0], s[0][2], s[0][1])), refused
 
 
@@ -226,8 +355,11 @@ def secret_digests(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     return map_batches(docs.select(docs[key].cast("long"), docs[text].cast("string")), work, schema)
 
 
-def mask_documents(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
-    """The documents with their secrets masked; columns as before, ``n_chars`` of the new text."""
+def mask_documents(docs: DataFrame, mark: str = "[SECRET]", refused: Observation | None = None) -> DataFrame:
+    """The documents with their secrets masked; columns as before, ``n_chars`` of the new text.
+
+    ``refused`` observes the sum of ``n_refused`` when the rows are written.
+    """
     names = docs.columns
     shipped(docs.sparkSession)
 
@@ -236,13 +368,16 @@ def mask_documents(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
         for batch in batches:
             at = batch.schema.get_field_index("text")
             texts = batch.column(at).to_pylist()
-            made = []
+            made, over = [], []
             for t in texts:
-                found, _ = worklist(t or "")
+                found, n = worklist(t or "")
                 made.append(mask(t, [s for s, _ in found], mark) if found else t)
+                over.append(n)
             columns = list(batch.columns)
             columns[at] = pa.array(made, type=pa.string())
-            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(over, type=pa.int32())], names=[*batch.schema.names, "_refused"])
 
-    masked = docs.mapInArrow(run, docs.schema)
+    masked = docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("_refused", T.IntegerType())]))
+    if refused is not None:
+        masked = masked.observe(refused, F.coalesce(F.sum("_refused"), F.lit(0)).alias("n_refused"))
     return masked.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(*names)

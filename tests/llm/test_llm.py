@@ -134,6 +134,37 @@ def test_secrets_in_nested_layers(docs, none):
     assert secrets.mask_documents(docs).columns == docs.columns
 
 
+def test_secrets_in_streams_of_streams(spark, monkeypatch):
+    import bz2
+    import gzip
+    import zstandard
+    zstd = zstandard.ZstdCompressor().compress
+    inner = b"api_key: 0123456789abcdef0123456789"
+    kinds = lambda text: {k for (_, _, k), _ in secrets.worklist(text)[0]}
+    coded = lambda data: base64.b64encode(data).decode()
+    for data in (gzip.compress(zlib.compress(inner)), zstd(bz2.compress(gzip.compress(inner))), gzip.compress(b"nothing here") + gzip.compress(inner),
+                 bz2.compress(b"nothing here") + bz2.compress(inner), zstd(b"nothing here") + zstd(inner), zlib.compress(b"nothing") + zlib.compress(inner),
+                 b"\x50\x2a\x4d\x18\x03\0\0\0abc".join([zstd(b"nothing here"), zstd(inner)]), gzip.compress(coded(zlib.compress(inner)).encode())):
+        assert {0, 2} <= kinds("x " + coded(data) + " y")
+    for before in ("/a/b1/", "name_", "to-", "https://host.example/get/x/", "abc_de_"):
+        for data in (b"see the password = verysecret now", zlib.compress(inner)):
+            assert 0 in kinds(before + coded(data)), before
+    text = "p/" + coded(b"see the password = verysecret now")
+    (a, b, _), _ = secrets.worklist(text)[0][0]
+    assert 2 < a < b < len(text)  # only the characters of the find
+    monkeypatch.setattr(secrets, "INFLATED_BYTES", 1 << 20)
+    monkeypatch.setattr(secrets, "PIECE_BYTES", 1 << 18)
+    large = (b"plain words, " * 400000) + inner
+    for data in (gzip.compress(large), gzip.compress(gzip.compress(large)), bz2.compress(large), zstd(large)):
+        found, refused = secrets.worklist(coded(data))
+        assert {0, 2} <= {k for (_, _, k), _ in found} and refused == 0
+    assert secrets.worklist(coded(gzip.compress(b"z" * (5 << 20))))[1] > 0
+    from pyspark.sql import Observation
+    seen = Observation()
+    one = spark.createDataFrame([(1, coded(gzip.compress(gzip.compress(inner))), 9)], "doc_id long, text string, n_chars long")
+    assert [r.text for r in secrets.mask_documents(one, refused=seen).collect()] == ["[SECRET]"] and seen.get == {"n_refused": 0}
+
+
 def shingles(text, width):
     words = (text or "").encode().lower().split()
     return {tuple(words[i:i + width]) for i in range(len(words) - width + 1)} if len(words) >= width else ({tuple(words)} if words else set())
