@@ -3,8 +3,9 @@
 Two zstandard dictionaries are built from labelled text.  The ordinary one is trained on
 ordinary documents.  The toxic one holds the same content and, on top, what marks toxic
 documents: stretches whose byte 5-grams are far more frequent in toxic than in ordinary
-training documents (each context counted once, so copies don't count), in the word forms they
-occur in.  A text is cut into overlapping windows; each is compressed with both.  How much
+training documents (each context counted once, so copies don't count), in the words and
+phrases they occur in.  (A dictionary trained on toxic text instead holds mostly what both
+kinds of text share and tells them apart far worse; README has both figures.)  A text is cut into overlapping windows; each is compressed with both.  How much
 shorter the toxic dictionary makes the windows is summed up in a few numbers per document,
 and a logistic curve, fitted on training documents the dictionaries were not built from,
 turns them into a score calibrated to the share of toxic labels.
@@ -28,7 +29,6 @@ GRAM, CONTEXT = 5, 5
 DICTIONARY = 64 << 10
 LEVEL = 3
 EXCESS, EVIDENCE = 8.0, 20.0  # least ratio of rates and least likelihood ratio (G) of a marking stretch
-FORMS = 400
 SAMPLE = 2000  # labelled rows of each class the model is fitted on, at most
 SAMPLE_CHARS = 20_000  # only texts up to this length are fitted on; all texts are scored, whole
 SCORED = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("score", T.DoubleType())])
@@ -83,7 +83,7 @@ def evidence(a: np.ndarray, b: np.ndarray, n_a: int, n_b: int) -> np.ndarray:
 
 
 def marking(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
-    """Stretches that mark toxic texts, most frequent first; none is part of another."""
+    """Stretches that mark toxic texts, most frequent first."""
     codes_a, counts_a = gram_counts(toxic)
     codes_b, counts_b = gram_counts(ordinary)
     at = np.searchsorted(codes_b, codes_a)
@@ -105,9 +105,9 @@ def marking(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
         found[text[strong[0]:strong[-1] + GRAM]] += 1
     kept: list[bytes] = []
     for stretch, n in sorted(found.items(), key=lambda f: (-f[1], len(f[0]), f[0])):
-        if n < 3 or len(kept) >= FORMS:
+        if n < 3:
             break
-        if len(stretch) <= GRAM or any(k in stretch or stretch in k for k in kept):
+        if len(stretch) <= GRAM:
             continue
         a = np.array(float(sum(stretch in t for t in toxic)))
         b = np.array(float(sum(stretch in t for t in ordinary)))
@@ -117,14 +117,19 @@ def marking(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
 
 
 def word_forms(toxic: list[bytes], stretches: list[bytes]) -> list[bytes]:
-    """The words that hold a marking stretch, most frequent first."""
-    cores = [s.strip() for s in stretches]
+    """The whole words or phrases that hold a marking stretch, most frequent first."""
+    cores = sorted({b" ".join(s.split()) for s in stretches} - {b""})
     forms: Counter[bytes] = Counter()
     for text in set(toxic):
-        for word in set(text.split()):
-            if any(c in word for c in cores):
-                forms[word.strip(b".,;:!?\"'()")] += 1
-    return [f for f, n in sorted(forms.items(), key=lambda f: (-f[1], f[0])) if n >= 2][:FORMS]
+        flat, own = b" " + b" ".join(text.split()) + b" ", set()
+        for core in cores:
+            at = flat.find(core)
+            while at >= 0:
+                end = flat.index(b" ", at + len(core))
+                own.add(flat[flat.rindex(b" ", 0, at) + 1:end].strip(b".,;:!?\"'()"))
+                at = flat.find(core, end)
+        forms.update(own)
+    return [f for f, n in sorted(forms.items(), key=lambda f: (-f[1], f[0])) if n >= 2]
 
 
 def compressors(model: Model):

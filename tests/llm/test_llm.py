@@ -365,6 +365,17 @@ def test_toxic_texts_are_told_apart(spark, docs, none):
     assert {r.score for r in toxicity.score(docs, empty).collect()} == {0.0} and toxicity.score(none, model).count() == 0
 
 
+def test_toxic_phrases_and_all_forms_are_kept():
+    draw = random.Random(2)
+    plain = [prose(i + 2000, 60).split() for i in range(300)]
+    apart = [w[:20] + ["go"] + w[20:40] + ["home"] + w[40:] for w in plain]
+    phrase = [w[:k] + ["go", "home"] + w[k:] for w in plain[:150] for k in [draw.randrange(60)]]
+    toxic, ordinary = ([" ".join(w).encode() for w in ws] for ws in (phrase, apart))
+    assert any(b"go home" in f for f in toxicity.word_forms(toxic, toxicity.marking(toxic, ordinary)))
+    many = [b"core%03d" % i for i in range(500)]
+    assert set(many) == set(toxicity.word_forms([b"a " + m + b" z%d" % k for m in many for k in range(2)], many))
+
+
 def test_licences(spark, docs, none):
     lines = ["Released under the MIT License.", "ab cd\nLicensed under the Apache License, Version 2.0.\nxx", "Licensed under CC BY-SA 4.0.",
              "the driver must carry a valid license for the car", "This work is licensed under the GNU General Public License, version 3.", None, ""]
