@@ -44,15 +44,28 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def as_table(df: DataFrame, name: str = "docs") -> DataFrame:
-    """``df`` itself if it is a plain scan of files, else its rows written and read back.
-
-    Row numbers by place in the scan then stay the same each time the table is read.
-    """
+    """``df`` itself if it is a plain scan of Parquet files, else its rows written and read back."""
     plan = df._jdf.queryExecution().optimizedPlan().toString().strip().splitlines()
-    plain = all(line.lstrip(" +-:").startswith(("Project", "Relation")) for line in plan) and "Relation" in plan[-1]
+    plain = (all(line.lstrip(" +-:").startswith(("Project", "Relation")) for line in plan)
+             and "Relation" in plan[-1] and plan[-1].rstrip().endswith("parquet"))
     return df if plain else stored(df, name)
 
 
+def numbered(df: DataFrame, row: str = "_row", name: str = "docs") -> DataFrame:
+    """``df`` with a unique number of each row: of its file, in order of paths, and of the row in it.
+
+    Unlike a number by place in the scan it does not depend on how files are cut into splits,
+    so every scan gives the same, also after executors are lost or join.
+    """
+    df = as_table(df, name)
+    files = sorted({row[0] for row in df.select(F.col("_metadata.file_path")).distinct().collect()})  # one a file
+    spark = df.sparkSession
+    places = spark.createDataFrame([(path, i) for i, path in enumerate(files)], "_path string, _file long")
+    return (df.select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.row_index").alias("_index"))
+            .join(F.broadcast(places), "_path")  # one row a file
+            .withColumn(row, F.shiftleft("_file", 40) + F.col("_index")).drop("_path", "_file", "_index"))
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postlake.llm.common import as_table, map_batches, shipped, stored
+from postlake.llm.common import map_batches, numbered, shipped, stored
 
 WORDS = 50
 GRAM = 20  # words of an anchor
@@ -200,13 +200,13 @@ def dedup_lines(docs: DataFrame, words: int = WORDS) -> DataFrame:
     the places of the lines that went whole; both are null if nothing went.  All rows stay,
     with their columns; ``text`` is cut.  Null and empty texts stay as they are; texts of
     fewer words than ``words`` have no window; null keys count as earliest, repeated rows as
-    later copies; an empty table gives no rows.  Rows are told apart by their place in the
-    scan (anything but a plain table is written first).
+    later copies; an empty table gives no rows.  Rows are told apart by their place in
+    their file (anything but a plain Parquet table is written first).
     """
     shipped(docs.sparkSession)
-    numbered = as_table(docs).withColumn("_row", F.monotonically_increasing_id())
-    gone = repeats(numbered.select(F.col("_row").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text"), words)
-    joined = (numbered.join(gone.select(F.col("row").alias("_row"), F.col("spans").alias("_spans")), "_row", "left").drop("_row")
+    rows = numbered(docs)
+    gone = repeats(rows.select(F.col("_row").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text"), words)
+    joined = (rows.join(gone.select(F.col("row").alias("_row"), F.col("spans").alias("_spans")), "_row", "left").drop("_row")
               .withColumn("_removed", F.lit(None).cast("array<int>")))
 
     def run(batches):

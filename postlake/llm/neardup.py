@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from postlake.llm.common import as_table, map_batches, ranked, shipped, stored, text_strings
+from postlake.llm.common import map_batches, numbered, ranked, shipped, stored, text_strings
 from postlake.llm.components import components
 from postlake.llm.shingles import mixed, shingle_sets
 
@@ -303,12 +303,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, text: st
     has the least ``doc_id`` in it.  Null and empty texts, and texts without words, have no
     shingle and link with nothing; a null key stays null and never names a component with others;
     repeated rows link with each other; an empty table gives no rows; other columns are ignored.
-    ``row`` tells repeated rows apart: a unique number of the caller's, or the place in the
-    scan (anything but a plain table is written first).
+    ``row`` tells repeated rows apart: a unique number of the caller's, or the place in its
+    file (anything but a plain Parquet table is written first).
     """
-    docs = docs if row else as_table(docs)
-    number = docs[row] if row else F.monotonically_increasing_id()
-    rows = docs.select(docs[key].cast("long").alias("doc_id"), number.alias("row"), docs[text].cast("string").alias("text"))
+    if row is None:
+        docs, row = numbered(docs.select(key, text)), "_row"
+    rows = docs.select(docs[key].cast("long").alias("doc_id"), docs[row].alias("row"), docs[text].cast("string").alias("text"))
     nodes = stored(nodes_of(rows, width), "nodes")
     met = stored(meetings(part_rows(rows, width, percent)), "met")
     wanted = met.select(F.col("a").alias("node")).union(met.select("b")).distinct()
@@ -348,9 +348,9 @@ def keep_first(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     The one with the least ``doc_id`` stays (null keys after all others; equal keys: the
     first row); columns as before.
     """
-    numbered = as_table(docs).withColumn("_row", F.monotonically_increasing_id())
-    found = near_duplicates(numbered, width, percent, row="_row")
+    rows = numbered(docs)
+    found = near_duplicates(rows, width, percent, row="_row")
     place = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "row")
     group = F.when(F.col("n_shingles") > 0, F.xxhash64("component_id", F.when(F.col("component_id").isNull(), F.col("row"))))
     first = found.groupBy(group.alias("group")).agg(F.min(place).alias("first")).select(F.col("first.row").alias("_row"))
-    return numbered.join(first, "_row", "left_semi").select(*docs.columns)
+    return rows.join(first, "_row", "left_semi").select(*docs.columns)

@@ -225,6 +225,25 @@ def test_trees_lose_no_link():
     assert linked <= pairs and len(pairs) < len(sets) ** 2 / 4
 
 
+def test_row_numbers_do_not_depend_on_splits(spark, docs, tmp_path):
+    from postlake.llm import common
+    folder = str(tmp_path / "many")
+    spark.range(4000).selectExpr("id as doc_id", "sha2(cast(id as string), 256) as text").repartition(3).write.option(
+        "parquet.block.size", 16384).parquet(folder)
+    table, size, seen = spark.read.parquet(folder), "spark.sql.files.maxPartitionBytes", []
+    before = spark.conf.get(size)
+    try:
+        for most in (before, "20000"):
+            spark.conf.set(size, most)
+            rows = common.numbered(table)
+            seen.append(({r.doc_id: r._row for r in rows.select("doc_id", "_row").collect()}, rows.rdd.getNumPartitions()))
+    finally:
+        spark.conf.set(size, before)
+    assert seen[0][0] == seen[1][0] and len(set(seen[0][0].values())) == 4000 and seen[0][1] != seen[1][1]
+    for frame in (linededup.dedup_lines(docs), neardup.near_duplicates(docs), neardup.keep_first(docs)):
+        assert "monotonically_increasing_id" not in frame._jdf.queryExecution().analyzed().toString()
+
+
 def test_first_of_each_group_stays(docs):
     kept = [r.doc_id for r in neardup.keep_first(docs).collect()]
     assert {0, 1, 2, 3}.issubset(kept) and not {12, 13, 14}.intersection(kept)
