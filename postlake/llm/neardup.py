@@ -297,7 +297,13 @@ def tree_pairs(stars: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, text: str = "text", key: str = "doc_id",
                     row: str | None = None) -> DataFrame:
-    """``row, doc_id, n_shingles, component_id``: exact components of texts that link.
+    """``found_components`` without the internal ``component``."""
+    return found_components(docs, width, percent, text, key, row).drop("component")
+
+
+def found_components(docs: DataFrame, width: int = 5, percent: int = 80, text: str = "text", key: str = "doc_id",
+                     row: str | None = None) -> DataFrame:
+    """``row, doc_id, n_shingles, component_id, component``: exact components of texts that link.
 
     Two texts link when 100 |A & B| >= percent |A | B| for their shingle sets.  A component
     has the least ``doc_id`` in it.  Null and empty texts, and texts without words, have no
@@ -339,7 +345,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, text: st
                 joined = components(links)
     named = nodes.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("least"))
-    return named.join(least, "component", "left").select("row", "doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"))
+    return named.join(least, "component", "left").select("row", "doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"), "component")
 
 
 def keep_first(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -349,8 +355,8 @@ def keep_first(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     first row); columns as before.
     """
     rows = numbered(docs)
-    found = near_duplicates(rows, width, percent, row="_row")
+    found = found_components(rows, width, percent, row="_row")
     place = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "row")
-    group = F.when(F.col("n_shingles") > 0, F.xxhash64("component_id", F.when(F.col("component_id").isNull(), F.col("row"))))
-    first = found.groupBy(group.alias("group")).agg(F.min(place).alias("first")).select(F.col("first.row").alias("_row"))
+    first = (found.groupBy("component")  # null: no shingle
+             .agg(F.min(place).alias("first")).select(F.col("first.row").alias("_row")))
     return rows.join(first, "_row", "left_semi").select(*docs.columns)

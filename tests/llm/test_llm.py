@@ -250,6 +250,12 @@ def test_first_of_each_group_stays(docs):
     assert kept.count(3) == 1 and sum(k in (15, 16, 17, 20, 24) for k in kept) == 1
 
 
+def test_repeated_and_null_keys_stay_apart_by_component(spark):
+    rows = [(1, prose(1, 60)), (1, prose(2, 60)), (None, prose(3, 60)), (None, prose(3, 60))]
+    kept = neardup.keep_first(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r.text for r in kept) == sorted(prose(i, 60) for i in (1, 2, 3))
+
+
 def test_repeated_passages_go(docs, none):
     got = {r.doc_id: r for r in linededup.dedup_lines(docs).collect() if r.doc_id not in (3, None)}
     assert got[22]._removed is None and got[23]._removed == [1] and got[23].text == prose(52, 8)
