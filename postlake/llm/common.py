@@ -58,12 +58,20 @@ def numbered(df: DataFrame, row: str = "_row", name: str = "docs") -> DataFrame:
     so every scan gives the same, also after executors are lost or join.
     """
     df = as_table(df, name)
-    files = sorted({row[0] for row in df.select(F.col("_metadata.file_path")).distinct().collect()})  # one a file
-    spark = df.sparkSession
-    places = spark.createDataFrame([(path, i) for i, path in enumerate(files)], "_path string, _file long")
-    return (df.select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.row_index").alias("_index"))
-            .join(F.broadcast(places), "_path")  # one row a file
-            .withColumn(row, F.shiftleft("_file", 40) + F.col("_index")).drop("_path", "_file", "_index"))
+    files = sorted({r[0] for r in df.select(F.col("_metadata.file_path")).distinct().collect()})  # one a file
+    path, file, index = (fresh(df, c) for c in ("_path", "_file", "_index"))
+    places = df.sparkSession.createDataFrame([(name, i) for i, name in enumerate(files)], f"`{path}` string, `{file}` long")
+    return (df.select("*", F.col("_metadata.file_path").alias(path), F.col("_metadata.row_index").alias(index))
+            .join(F.broadcast(places), path)  # one row a file
+            .withColumn(row, F.shiftleft(file, 40) + F.col(index)).drop(path, file, index))
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores put before it until ``df`` has no such column (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
 
 
 def shuffle_width(spark: SparkSession) -> int:

@@ -15,83 +15,86 @@ from __future__ import annotations
 import re
 
 import numpy as np
-import xxhash
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postlake.llm.common import map_batches, numbered, shipped, stored
+from postlake.llm.common import fresh, map_batches, numbered, shipped, stored
+from postlake.llm.neardup import chunks
+from postlake.llm.shingles import mixed, word_hashes
 
 WORDS = 50
 GRAM = 20  # words of an anchor
-CACHE = 500_000  # words whose hashes a task remembers
-BASE = np.uint64(0x9E3779B97F4A7C15)
+BASE = np.uint64(0xD1342543DE82EF95)
+INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 WORD = re.compile(r"\S+")
+#: UTF-8 of the white space beyond ASCII that ends a word.
+WIDE_SPACES = [chr(c).encode() for c in (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
+WIDE_LEADS = sorted({space[:2] for space in WIDE_SPACES})
+NARROW_SPACES = bytes(32 if 0x1C <= b <= 0x1F else b for b in range(256))
 ANCHORS = T.StructType([T.StructField("row", T.LongType()), T.StructField("doc_id", T.LongType()),
-                        T.StructField("anchors", T.ArrayType(T.StructType([
-                            T.StructField("print", T.LongType()), T.StructField("content", T.LongType()),
-                            T.StructField("lo", T.IntegerType()), T.StructField("hi", T.IntegerType())])))])
+                        T.StructField("print", T.LongType()), T.StructField("content", T.LongType()),
+                        T.StructField("lo", T.IntegerType()), T.StructField("hi", T.IntegerType())])
 WINDOWS = T.StructType([T.StructField("row", T.LongType()), T.StructField("doc_id", T.LongType()),
-                        T.StructField("windows", T.ArrayType(T.StructType([
-                            T.StructField("content", T.LongType()), T.StructField("start", T.IntegerType())])))])
+                        T.StructField("content", T.LongType()), T.StructField("start", T.IntegerType())])
 
 
-class WordHashes(dict):
-    def __missing__(self, word: str) -> int:
-        if len(self) >= CACHE:
-            self.clear()
-        made = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "replace"))
-        return made
+def spaced(text: bytes) -> bytes:
+    """The text with ASCII spaces for all other white space, byte for byte."""
+    text = text.translate(NARROW_SPACES)
+    if any(lead in text for lead in WIDE_LEADS):
+        for space in WIDE_SPACES:
+            text = text.replace(space, b" " * len(space))
+    return text
 
 
 class Rolling:
-    """Hashes of any runs of words of a text, from sums of word hashes times powers of BASE."""
+    """Words of some texts, one after the other, with hashes of any run of words.
 
-    def __init__(self, text: str, known: WordHashes):
-        words = text.split()
-        self.n = len(words)
-        hashes = np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=self.n)
-        self.powers = np.concatenate([np.ones(1, dtype=np.uint64), np.cumprod(np.full(self.n, BASE), dtype=np.uint64)])
-        self.sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(hashes * self.powers[:-1], dtype=np.uint64)])
-
-    def runs(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """Hash of the words from each start to before each end."""
-        made = (self.sums[ends] - self.sums[starts]) * self.powers[self.n - starts]  # one power for all places
-        return made * inverse_power(self.n)
+    ``first`` is the place of each text's first word (and the end), ``owner`` the text of each word.
+    """
 
+    def __init__(self, texts: list[bytes]):
+        hashes, self.owner = word_hashes(texts)
+        n = len(hashes)
+        self.first = np.concatenate([[0], np.cumsum(np.bincount(self.owner, minlength=len(texts)))])
+        powers = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, BASE)]), dtype=np.uint64)
+        self.inverses = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, INVERSE)]), dtype=np.uint64)
+        self.sums = np.concatenate([[np.uint64(0)], np.cumsum(hashes * powers[:n], dtype=np.uint64)])
 
-def inverse_power(n: int) -> np.uint64:
-    """BASE to the power of -n, modulo 2^64."""
-    return np.uint64(pow(int(BASE), -n, 1 << 64))
+    def runs(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Hash of the words from each start to before each end, the same wherever they are."""
+        return mixed((self.sums[ends] - self.sums[starts]) * self.inverses[starts])
 
 
-def mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+def least_places(values: np.ndarray, width: int) -> np.ndarray:
+    """Place of the least value (the last of equal ones) among each ``width`` values in a row."""
+    places, have = np.arange(len(values)), 1
+    while have < width:
+        step = min(have, width - have)  # ranges of ``have`` values, ``step`` apart, together hold have + step
+        left, right = places[:-step], places[step:]
+        places = np.where(values[right] <= values[left], right, left)
+        have += step
+    return places
 
 
 def anchors(rolling: Rolling, words: int) -> tuple[np.ndarray, ...]:
-    """Hash, stretch hash, first and last window of each anchor of a text."""
+    """Text, hash, stretch hash, first and last window (counted inside the text) of each anchor."""
     gram = min(GRAM, words)
-    n = rolling.n - words + 1  # windows
-    if n <= 0:
-        return (np.zeros(0, dtype=np.uint64),) * 2 + (np.zeros(0, dtype=np.int64),) * 2
-    places = np.arange(rolling.n - gram + 1)
-    grams = mixed(rolling.runs(places, places + gram))
-    width = words - gram + 1
-    view = np.lib.stride_tricks.sliding_window_view(grams[::-1], width)  # reversed: argmin gives the last of equal ones
-    at = len(grams) - 1 - (np.arange(n) + view.argmin(axis=1))
-    at = at[::-1]
-    lo = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-    hi = np.concatenate([lo[1:], [n]]) - 1
-    at = at[lo]
-    content = mixed(mixed(rolling.runs(lo, hi + words)) + (hi - lo).astype(np.uint64) * np.uint64(0x100000001B3) + (at - lo).astype(np.uint64))
-    return grams[at], content, lo, hi
-
-
-def structs(**columns: np.ndarray) -> list[dict]:
-    return [dict(zip(columns, values)) for values in zip(*(c.tolist() for c in columns.values()))]
+    n = len(rolling.owner)
+    starts = np.arange(max(0, n - words + 1))
+    starts = starts[rolling.owner[starts] == rolling.owner[starts + words - 1]] if len(starts) else starts
+    if not len(starts):
+        return (np.zeros(0, dtype=np.int64),) * 5
+    places = np.arange(n - gram + 1)
+    grams = rolling.runs(places, places + gram)
+    at = least_places(grams, words - gram + 1)[starts]
+    new = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+    lo, hi = starts[new], starts[np.concatenate([new[1:], [len(starts)]]) - 1]
+    at, owner = at[new], rolling.owner[starts[new]]
+    content = mixed(rolling.runs(lo, hi + words) + (hi - lo).astype(np.uint64) * np.uint64(0x100000001B3) + (at - lo).astype(np.uint64))
+    return owner, grams[at], content, lo - rolling.first[owner], hi - rolling.first[owner]
 
 
 def repeats(docs: DataFrame, words: int) -> DataFrame:
@@ -101,41 +104,52 @@ def repeats(docs: DataFrame, words: int) -> DataFrame:
     (nulls first), ``row`` and place.
     """
     def read(rows, keys, texts):
-        known, made = WordHashes(), []
-        for text in texts.to_pylist():
-            prints, content, lo, hi = anchors(Rolling(text or "", known), words)
-            made.append(structs(print=prints.view(np.int64), content=content.view(np.int64), lo=lo, hi=hi))
-        return {"row": rows, "doc_id": keys, "anchors": made}
-
-    found = stored(map_batches(docs.select("row", "doc_id", "text"), read, ANCHORS), "anchors").select("row", "doc_id", F.inline("anchors"))
-    shared = found.groupBy("print").agg(F.count("*").alias("n")).where("n > 1").select("print")
+        parts = []
+        texts = [spaced(t or b"") for t in texts.cast(pa.binary()).to_pylist()]
+        for begin, end in chunks(texts):
+            owner, *rest = anchors(Rolling(texts[begin:end]), words)
+            parts.append((owner + begin, *rest))
+        owner, prints, content, lo, hi = (np.concatenate(p) for p in zip(*parts))
+        held = pa.array(owner)
+        return {"row": rows.take(held), "doc_id": keys.take(held), "print": prints.view(np.int64), "content": content.view(np.int64),
+                "lo": lo.astype(np.int32), "hi": hi.astype(np.int32)}
+
+    # Tables of one row per key are written before the join by that key, which Spark can then split where the key is common.
+    found = stored(map_batches(docs.select("row", "doc_id", "text"), read, ANCHORS), "anchors")
+    shared = stored(found.groupBy("print").agg(F.count("*").alias("n")).where("n > 1").select("print"), "shared")
     hits = stored(found.join(shared, "print"), "hits")
 
     order = F.struct(F.col("doc_id").isNotNull().alias("named"), "doc_id", "row", F.col("lo").alias("at"))
-    first = hits.groupBy("content").agg(F.min(order).alias("first")).select(
-        "content", F.col("first.row").alias("first_row"), F.col("first.at").alias("first_at"))
+    first = stored(hits.groupBy("content").agg(F.min(order).alias("first")).select(
+        "content", F.col("first.row").alias("first_row"), F.col("first.at").alias("first_at")), "first")
     marked = stored(hits.join(first, "content").select("row", "doc_id", "print", "lo", "hi", (
         (F.col("row") != F.col("first_row")) | (F.col("lo") >= F.col("first_at") + words)).alias("later")), "marked")
     whole = marked.where("later").select("row", F.col("lo").alias("first"), (F.col("hi") + words - 1).alias("last"))
 
     edges = marked.where("not later").select("row", "print", "lo", "hi")
-    several = edges.groupBy("print").agg(F.count("*").alias("n")).where("n > 1").select("print")
+    several = stored(edges.groupBy("print").agg(F.count("*").alias("n")).where("n > 1").select("print"), "several")
     ranges = edges.join(several, "print").groupBy("row").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))  # of one document
 
     def expand(rows, keys, texts, ranges):
-        known, made = WordHashes(), []
-        for text, spans in zip(texts.to_pylist(), ranges.to_pylist()):
-            rolling = Rolling(text, known)
-            starts = np.concatenate([np.arange(s["lo"], s["hi"] + 1) for s in spans])
-            content = mixed(rolling.runs(starts, starts + words))
-            made.append(structs(content=content.view(np.int64), start=starts))
-        return {"row": rows, "doc_id": keys, "windows": made}
+        held, contents, places = [], [], []
+        texts, ranges = [spaced(t) for t in texts.cast(pa.binary()).to_pylist()], ranges.to_pylist()
+        for begin, end in chunks(texts):
+            rolling = Rolling(texts[begin:end])
+            for i in range(begin, end):
+                starts = np.concatenate([np.arange(s["lo"], s["hi"] + 1) for s in ranges[i]])
+                at = starts + rolling.first[i - begin]
+                held.append(np.full(len(starts), i))
+                contents.append(rolling.runs(at, at + words))
+                places.append(starts)
+        held = pa.array(np.concatenate(held))
+        return {"row": rows.take(held), "doc_id": keys.take(held), "content": np.concatenate(contents).view(np.int64),
+                "start": np.concatenate(places).astype(np.int32)}
 
     opened = docs.join(ranges, "row").select("row", "doc_id", "text", "ranges")
-    each = stored(map_batches(opened, expand, WINDOWS), "windows").select("row", "doc_id", F.inline("windows"))
+    each = stored(map_batches(opened, expand, WINDOWS), "windows")
     order = F.struct(F.col("doc_id").isNotNull().alias("named"), "doc_id", "row", "start")
-    first = (each.groupBy("content").agg(F.min(order).alias("first"), F.count("*").alias("n")).where("n > 1")
-             .select("content", F.col("first.row").alias("first_row"), F.col("first.start").alias("first_start")))
+    first = stored(each.groupBy("content").agg(F.min(order).alias("first"), F.count("*").alias("n")).where("n > 1")
+                   .select("content", F.col("first.row").alias("first_row"), F.col("first.start").alias("first_start")), "first")
     later = each.join(first, "content").where((F.col("row") != F.col("first_row")) | (F.col("start") >= F.col("first_start") + words))
     spans = whole.union(later.select("row", F.col("start").alias("first"), (F.col("start") + words - 1).alias("last")))
     gathered = spans.groupBy("row").agg(F.collect_set(F.struct("first", "last")).alias("spans"))  # of one document
@@ -193,26 +207,27 @@ def cut(text: str | None, spans: list[dict] | None) -> tuple[str | None, list[in
     return "\n".join(out), removed
 
 
-def dedup_lines(docs: DataFrame, words: int = WORDS) -> DataFrame:
+def dedup_lines(docs: DataFrame, words: int = WORDS, spans: str = "_spans", removed: str = "_removed") -> DataFrame:
     """The documents without repeated runs of words, with ``_removed`` and ``_spans``.
 
     ``_spans`` are the runs of words that went (first and last, counted from 0), ``_removed``
-    the places of the lines that went whole; both are null if nothing went.  All rows stay,
+    the places of the lines that went whole; both are null if nothing went; other names for them
+    are arguments, for tables that have such columns.  All rows stay,
     with their columns; ``text`` is cut.  Null and empty texts stay as they are; texts of
     fewer words than ``words`` have no window; null keys count as earliest, repeated rows as
     later copies; an empty table gives no rows.  Rows are told apart by their place in
     their file (anything but a plain Parquet table is written first).
     """
     shipped(docs.sparkSession)
-    rows = numbered(docs)
-    gone = repeats(rows.select(F.col("_row").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text"), words)
-    joined = (rows.join(gone.select(F.col("row").alias("_row"), F.col("spans").alias("_spans")), "_row", "left").drop("_row")
-              .withColumn("_removed", F.lit(None).cast("array<int>")))
+    row = fresh(docs, "_row")
+    rows = numbered(docs, row)
+    gone = repeats(rows.select(F.col(row).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text"), words)
+    joined = (rows.join(gone.select(F.col("row").alias(row), F.col("spans").alias(spans)), row, "left").drop(row)
+              .withColumn(removed, F.lit(None).cast("array<int>")))
 
     def run(batches):
-        import pyarrow as pa
         for batch in batches:
-            at, by, lines = (batch.schema.get_field_index(c) for c in ("text", "_spans", "_removed"))
+            at, by, lines = (batch.schema.get_field_index(c) for c in ("text", spans, removed))
             columns = list(batch.columns)
             made = [cut(t, s) for t, s in zip(columns[at].to_pylist(), columns[by].to_pylist())]
             columns[at] = pa.array([t for t, _ in made], type=pa.string())
@@ -223,7 +238,12 @@ def dedup_lines(docs: DataFrame, words: int = WORDS) -> DataFrame:
 
 
 def without_repeats(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """The same with only the columns of ``docs``, and ``n_chars`` of the new text."""
-    made = dedup_lines(docs, words)
-    return made.withColumn("n_chars", F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(
+    """The same with only the columns of ``docs``, and ``n_chars`` of the new text.
+
+    Nulls, empty texts, repeated rows, empty tables and other columns, whatever their names, are
+    treated as ``dedup_lines`` does; ``n_chars`` of a text that lost nothing stays as it is.
+    """
+    spans, removed = fresh(docs, "_spans"), fresh(docs, "_removed")
+    made = dedup_lines(docs, words, spans, removed)
+    return made.withColumn("n_chars", F.when(F.col(spans).isNull(), F.col("n_chars")).otherwise(
         F.char_length("text")).cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
