@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from postlake.llm.common import map_batches, numbered, ranked, shipped, stored, text_strings
+from postlake.llm.common import fresh, map_batches, numbered, ranked, shipped, stored, text_strings
 from postlake.llm.components import components
 from postlake.llm.shingles import mixed, shingle_sets
 
@@ -348,15 +348,38 @@ def found_components(docs: DataFrame, width: int = 5, percent: int = 80, text: s
     return named.join(least, "component", "left").select("row", "doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"), "component")
 
 
-def keep_first(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+def keep_first(docs: DataFrame, width: int = 5, percent: int = 80, before: DataFrame | None = None) -> DataFrame:
     """One document of each component, and one of those without any shingle.
 
     The one with the least ``doc_id`` stays (null keys after all others; equal keys: the
-    first row); columns as before.
+    first row); columns as before, whatever their names.  ``before`` has ``doc_id`` and ``text`` as
+    the texts were before an earlier step cut them: documents whose texts linked then are also one
+    component, so what a cut leaves of a near copy does not stay.  Ids that are null or occur
+    more than once in either table have only their present text.
     """
-    rows = numbered(docs)
-    found = found_components(rows, width, percent, row="_row")
+    name = fresh(docs, "_row")
+    rows = numbered(docs, name)
+    found = found_components(rows, width, percent, row=name)
+    if before is not None:
+        found = stored(found, "present")
+        joined = joined_before(found, before, width, percent)
+        found = found.join(joined, "component", "left").withColumn("component", F.coalesce("label", "component"))
     place = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "row")
     first = (found.groupBy("component")  # null: no shingle
-             .agg(F.min(place).alias("first")).select(F.col("first.row").alias("_row")))
-    return rows.join(first, "_row", "left_semi").select(*docs.columns)
+             .agg(F.min(place).alias("first")).select(F.col("first.row").alias(name)))
+    return rows.join(first, name, "left_semi").select(*docs.columns)
+
+
+def joined_before(found: DataFrame, before: DataFrame, width: int, percent: int) -> DataFrame:
+    """``component, label``: components of ``found`` that are one by the texts of ``before``."""
+    def once(df: DataFrame) -> DataFrame:
+        return df.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n = 1").select("doc_id")
+
+    before = before.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    earlier = before.join(once(before), "doc_id", "left_semi").join(once(found), "doc_id", "left_semi")
+    then = found_components(earlier, width, percent).select("doc_id", F.col("component").alias("then"))
+    met = stored(found.where("component is not null").select("doc_id", "component").join(then.where("then is not null"), "doc_id")
+                 .select("then", "component").distinct(), "then")
+    heads = met.groupBy("then").agg(F.min("component").alias("a"), F.count("*").alias("n")).where("n > 1")
+    links = met.join(heads, "then").select("a", F.col("component").alias("b"))
+    return components(links).select(F.col("node").alias("component"), F.col("component").alias("label"))
