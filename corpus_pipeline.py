@@ -24,13 +24,20 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Runs of lines of 50 words or more that occurred earlier are cut; all documents stay."""
+    """Runs of 50 words or more that occurred earlier are cut; all documents stay.
+
+    Nulls and odd tables as in ``linededup.without_repeats``.
+    """
     return linededup.without_repeats(docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays (five words, similarity 0.8)."""
-    return neardup.keep_first(docs)
+    """One document of each group of near duplicates stays (five words, similarity 0.8).
+
+    Groups are found in the texts as they are and as they were in ``documents``: line dedup cuts
+    near copies down to a few words, which resemble nothing any more.
+    """
+    return neardup.keep_first(docs, before=table(spark, sf_dir, "documents"))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
