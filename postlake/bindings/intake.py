@@ -251,7 +251,7 @@ def dedup_repull(spark, sf_dir):
 
 @query("dedup_latest", O.select(O.LATEST, f"SELECT {_VERSION} FROM latest"))
 def dedup_latest(spark, sf_dir):
-    return _versions(dedup.latest_version(dedup.collapse_repulls(bound(spark, sf_dir).normalized())))
+    return _versions(dedup.latest_content(bound(spark, sf_dir).normalized()))
 
 
 _STAGED = [c for c in NORMALIZED if c != "dedup_key"]

@@ -37,7 +37,48 @@ def earliest_survivor(df: DataFrame, key: str = "dedup_key", tie: str = "posting
     return keep_first(df, [key], [F.asc("first_seen_at"), F.asc(tie)])
 
 
+def content_digest(df: DataFrame, seen: str = "seen_at") -> Column:
+    """128-bit digest of all columns but the time seen; NULL and empty text differ."""
+    content = [F.col(c).cast("string") for c in sorted(df.columns) if c != seen]
+    marked = [F.coalesce(F.concat(F.length(c).cast("string"), F.lit(":"), c), F.lit("-")) for c in content]
+    return F.md5(F.concat(*marked).cast("binary"))
+
+
+def sightings(keyed: DataFrame, *extra: Column, seen: str = "seen_at") -> DataFrame:
+    """One narrow row per posting and content, with the first and last time it was seen."""
+    return keyed.groupBy("posting_id", "digest", "dedup_key").agg(
+        F.min(seen).alias("first_seen_at"), F.max(seen).alias("last_seen_at"), *extra)
+
+
+def survivors(seen: DataFrame) -> DataFrame:
+    """Of narrow sightings, the newest per posting, then the earliest per blocking key."""
+    latest = keep_first(seen, ["posting_id"], [F.desc("last_seen_at"), F.desc("first_seen_at"), F.asc("digest")])
+    return earliest_survivor(latest)
+
+
+def fetch(keyed: DataFrame, chosen: DataFrame, seen: str = "seen_at") -> DataFrame:
+    """The wide row of each chosen posting and content, with the times of ``chosen``.
+
+    Map tasks keep one row per posting and content before anything wide is shuffled, and the
+    join then uses that shuffle's partitioning: wide rows travel once.
+    """
+    one = keep_first(keyed, ["posting_id", "digest"], [F.desc(seen)])
+    times = chosen.select("posting_id", "digest", "first_seen_at", "last_seen_at")
+    return one.join(times, ["posting_id", "digest"])
+
+
+def latest_content(normalized: DataFrame) -> DataFrame:
+    """Newest content per posting, as ``latest_version(collapse_repulls(normalized))``, decided on digests."""
+    keyed = normalized.withColumn("digest", content_digest(normalized))
+    chosen = keep_first(sightings(keyed), ["posting_id"], [F.desc("last_seen_at"), F.desc("first_seen_at"), F.asc("digest")])
+    return fetch(keyed, chosen).drop("digest", "seen_at")
+
+
 def deduplicate(normalized: DataFrame) -> DataFrame:
-    """Normalised rows to staging: re-pulls, then versions, then copies across sources."""
-    survivors = earliest_survivor(latest_version(collapse_repulls(normalized)))
-    return survivors.select(*columns("staging_postings"))
+    """Normalised rows to staging: re-pulls, then versions, then copies across sources.
+
+    All three are decided on narrow rows of id, content digest, blocking key and times.
+    Rows without an id are no postings; ``split_unidentified`` sets them aside first.
+    """
+    keyed = normalized.withColumn("digest", content_digest(normalized))
+    return fetch(keyed, survivors(sightings(keyed))).select(*columns("staging_postings"))
