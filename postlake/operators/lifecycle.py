@@ -117,7 +117,7 @@ def latest_of(stale: DataFrame, archived: DataFrame) -> DataFrame:
     return keep_first(ranked.filter(F.col("posting_id").isNotNull()), ["posting_id"], order).drop("_rank")
 
 
-def _not_archived(stale: DataFrame, archive: DataFrame) -> DataFrame:
+def not_archived(stale: DataFrame, archive: DataFrame) -> DataFrame:
     """Stale rows the archive does not hold in this very sighting, so that a run that died
     after writing the archive can be repeated."""
     held = archive.select(F.col("posting_id").alias("_id"), F.col("date_posted").alias("_date"),
@@ -135,24 +135,25 @@ def archive_split(facts: DataFrame, archive: DataFrame, companies: DataFrame,
 
     Stale facts join the archive table (or, with ``cold_only``, the table is left
     empty and only the cold archive keeps them).  Postings already in the cold
-    archive are not encoded again, which makes a repeated run harmless.
+    archive are left out before anything is ranked or encoded, which makes a repeated
+    run harmless and cheap.
     """
     stale = facts.filter(is_stale(as_of, days))
     live = facts.filter(is_live(as_of, days))
-    moved = latest_of(stale, archive)
-    encoded = encode(
-        denormalize(moved, companies, locations, details)
-        .join(archived_ids.select("posting_id"), "posting_id", "left_anti"), as_of)
+    known = archived_ids.select("posting_id").distinct()
+    fresh = latest_of(stale.join(known, "posting_id", "left_anti"), archive.join(known, "posting_id", "left_anti"))
+    encoded = encode(denormalize(fresh, companies, locations, details), as_of)
     stamped = stale.select(
         "*", moment(as_of).alias("archived_at"),
         archive_reason(as_of, F.col("closing_date")).alias("archive_reason"))
     kept = archive.limit(0) if cold_only else archive.unionByName(
-        _not_archived(stamped, archive).select(*archive.columns))
+        not_archived(stamped, archive).select(*archive.columns))
     ids = live.select("posting_id").distinct()
-    known = archived_ids.select("posting_id").withColumn("_cold", F.lit(1)).distinct()
+    moved = (stale.select("posting_id").unionByName(archive.select("posting_id"))
+             .filter(F.col("posting_id").isNotNull()).distinct())
     counts = (
-        moved.select("posting_id").withColumn("_moved", F.lit(1))
-        .join(known, "posting_id", "full_outer")
+        moved.withColumn("_moved", F.lit(1))
+        .join(known.withColumn("_cold", F.lit(1)), "posting_id", "full_outer")
         .agg(F.count(F.when(F.col("_cold").isNull(), 1)).alias("encoded_count"),
              F.count("_moved").alias("purged_count"),
              F.count(F.lit(1)).alias("total_archived_offline"))

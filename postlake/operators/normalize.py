@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postlake.functions import text
+from postlake.operators.dedup import content_digest
+from postlake.sources.landing import is_json
 from postlake.sources.schemas import columns
 from postlake.sources.specs import SPECS, SourceSpec, first_value, value_at
 
@@ -36,9 +38,9 @@ def _description(spec: SourceSpec, record: Column) -> Column:
 
 
 def extract(raw: DataFrame, spec: SourceSpec, remote_fallback: bool = False,
-            payload: str = "payload", seen: str = "ingested_at") -> DataFrame:
-    """One source's payload rows as raw posting fields, before any cleaning."""
-    parsed = raw.select(F.from_json(payload, spec.schema()).alias("r"), F.col(seen).alias("seen_at"))
+            payload: str = "payload", seen: str = "ingested_at", keep: tuple[str, ...] = ()) -> DataFrame:
+    """One source's payload rows as raw posting fields, before any cleaning; columns in ``keep`` go along."""
+    parsed = raw.select(F.from_json(payload, spec.schema()).alias("r"), F.col(seen).alias("seen_at"), *keep)
     r = F.col("r")
     company = [F.trim(value_at(r, p)) for p in spec.company]
     missing = (first_value(r, spec.title).isNull()
@@ -62,10 +64,11 @@ def extract(raw: DataFrame, spec: SourceSpec, remote_fallback: bool = False,
         first_value(r, spec.employment_type).alias("employment_type"),
         "seen_at",
         missing.alias("is_incomplete"),
+        *keep,
     )
 
 
-def clean(extracted: DataFrame) -> DataFrame:
+def clean(extracted: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Location, role family, plain description and blocking key of extracted rows."""
     shaped = (
         extracted
@@ -76,7 +79,7 @@ def clean(extracted: DataFrame) -> DataFrame:
         .withColumn("dedup_key", text.block_key(
             F.col("company_name"), F.col("job_title"), F.col("location_normalized")))
     )
-    return shaped.select(*columns("staging_postings_normalized"))
+    return shaped.select(*columns("staging_postings_normalized"), *keep)
 
 
 def normalize(raw: DataFrame, source_col: str = "source_id", specs=SPECS,
@@ -94,6 +97,28 @@ def normalize(raw: DataFrame, source_col: str = "source_id", specs=SPECS,
     return clean(reduce(DataFrame.unionByName, branches))
 
 
+# Why a landed row is no posting.
+REFUSALS = ("PARSE_ERROR", "MISSING_ID", "UNKNOWN_SOURCE")
+
+
+def judged(raw: DataFrame, keep: tuple[str, ...] = (), source_col: str = "source_id",
+           payload: str = "payload", specs=SPECS) -> DataFrame:
+    """Every landed row once: normalised with its content digest, or refused with a ``reason``.
+
+    A refused row keeps its payload and source; of a posting the payload is left out.
+    """
+    carried = (payload, *keep)
+    branches = [clean(extract(raw.filter(F.col(source_col) == name), spec, keep=carried), carried) for name, spec in specs.items()]
+    known = reduce(DataFrame.unionByName, branches)
+    reason = (F.when(~is_json(F.col(payload)), "PARSE_ERROR").when(F.col("posting_id").isNull(), "MISSING_ID"))
+    digest = content_digest(known.drop(*carried))
+    known = known.withColumn("digest", digest).withColumn("reason", reason)
+    strange = raw.filter(~F.coalesce(F.col(source_col).isin(*specs), F.lit(False))).select(
+        F.col(source_col).alias("source_id"), F.col("ingested_at").alias("seen_at"), *carried).withColumn("reason", F.lit("UNKNOWN_SOURCE"))
+    return (known.unionByName(strange, allowMissingColumns=True)
+            .withColumn(payload, F.when(F.col("reason").isNotNull(), F.col(payload))))
+
+
 def split_unidentified(normalized: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Postings with an id, and those without one, which no later key can tell apart."""
     known = F.col("posting_id").isNotNull()

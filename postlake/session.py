@@ -61,3 +61,10 @@ def spread(scan: DataFrame) -> DataFrame:
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
     return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows written once to the shared scratch folder and read back, which cuts the lineage."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -28,6 +28,8 @@ TABLES = {
         f"{_POSTING_HEAD}, seen_at timestamp, is_incomplete boolean, dedup_key string",
     "staging_postings":
         f"{_POSTING_HEAD}, first_seen_at timestamp, last_seen_at timestamp, is_incomplete boolean",
+    "staging_ranking":
+        "posting_id string, digest string, first_seen_at timestamp, last_seen_at timestamp, home date",
     "dim_company":
         "company_id string, company_name string, display_name string, "
         "valid_from timestamp, valid_to timestamp, is_current boolean",

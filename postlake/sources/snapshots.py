@@ -134,22 +134,22 @@ class Snapshots:
             return schemas.empty(self.spark, name)
         return self.spark.read.schema(schemas.TABLES[name]).parquet(path)
 
-    def apply_schema(self) -> list[str]:
+    def apply_schema(self, skip: tuple[str, ...] = ()) -> list[str]:
         """Create every missing registered table; safe to repeat."""
-        missing = [name for name in schemas.TABLES if not self.exists(name)]
+        missing = [name for name in schemas.TABLES if name not in skip and not self.exists(name)]
         self.commit_all({name: schemas.empty(self.spark, name) for name in missing})
         return missing
 
 
-def overwrite_touched(spark: SparkSession, path: str, merged: DataFrame, partition: str) -> None:
+def overwrite_touched(spark: SparkSession, path: str, merged: DataFrame, *partition: str) -> None:
     """Replace only the partitions that ``merged`` has rows for.
 
     Spark stages the new files and moves whole partitions at commit, so the
     untouched part of a table is neither read nor written.  Rebalancing gives a
     partition one file of good size, and splits a large one over several tasks.
     """
-    (merged.hint("rebalance", partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition).parquet(path))
+    (merged.hint("rebalance", *partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition).parquet(path))
 
 
 def month_partition(date_col: str) -> Column:
