@@ -12,14 +12,15 @@ from postlake.bindings.intake import EVENT, EVENTS_SQL, event_records, read_even
 from postlake.bindings.registry import query, seconds
 from postlake.bindings.tables import AS_OF, STALE_DAYS, bound, profiles, table
 from postlake.functions.time import moment
-from postlake.operators import browse, lifecycle, merge, runlog, tracking
+from postlake.operators import browse, lifecycle, merge, runlog, tracking, vectors
+from postlake.operators.dedup import keep_first
 from postlake.operators.profiles import parse
 from postlake.plans import marts
-from postlake.session import scratch_path
+from postlake.session import scratch_path, stored
 from postlake.sources import archive, landing
 from postlake.sources.export import tracker_rows
 from postlake.sources.snapshots import Snapshots
-from postlake.streaming import streams
+from postlake.streaming import late, streams
 
 
 # --- user state ---------------------------------------------------------------
@@ -402,6 +403,31 @@ def browse_page(spark, sf_dir):
     return browse.page(matching, "match_score", 2, 20)
 
 
+def _keyset_sql() -> str:
+    orders = {"date_posted": "date_posted DESC", "match_score": "match_score DESC", "salary": "salary_max DESC",
+              "company": "company_name ASC", "last_seen": "last_seen_at DESC"}
+    return " UNION ALL ".join(f"""SELECT '{sort}' AS sort, CAST((r - 1) // 20 + 1 AS INTEGER) AS page, posting_id FROM (
+      SELECT posting_id, row_number() OVER (ORDER BY {order} NULLS LAST, posting_id) AS r FROM matches) WHERE r <= 20 OR r BETWEEN 41 AND 60"""
+                              for sort, order in orders.items())
+
+
+@query("browse_after", O.select(O.DEFAULT_MATCH, _keyset_sql()))
+def browse_after(spark, sf_dir):
+    """The first and the third page of every order, each found from the last row of the page before."""
+    rows = stored(_matches(spark, sf_dir).select("posting_id", *{c for _, c in browse.SORTS.values()}), "matches")
+    out = None
+    for sort, (_, column) in browse.SORTS.items():
+        last = None
+        for number in (1, 2, 3):
+            found = browse.after(rows, sort, 20, last)
+            if number != 2:
+                part = found.select(F.lit(sort).alias("sort"), F.lit(number).alias("page"), "posting_id")
+                out = part if out is None else out.unionByName(part)
+            seen = found.select(column, "posting_id").collect()  # one page
+            last = (seen[-1][0], seen[-1][1]) if seen else last
+    return out
+
+
 @query("new_matches", O.select(O.DEFAULT_MATCH, """
 SELECT posting_id, match_score FROM matches WHERE match_score >= 60 AND first_seen_at > TIMESTAMP '2001-03-01'"""))
 def new_matches(spark, sf_dir):
@@ -451,6 +477,59 @@ def skill_ranking(spark, sf_dir):
     return browse.skill_ranking(star.mentions, star.skills)
 
 
+@query("match_by_vector", """
+WITH q AS (SELECT label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings QUALIFY row_number() OVER (PARTITION BY label ORDER BY vec_id) = 1),
+scored AS (SELECT CAST(q.label AS VARCHAR) AS query, e.vec_id, list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), q.v) AS score FROM embeddings e, q)
+SELECT query, CAST(row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, round(score, 6) AS score
+FROM scored QUALIFY row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id) <= 20""")
+def match_by_vector(spark, sf_dir):
+    """The twenty vectors nearest to the first of each label, all vectors compared."""
+    rows = table(spark, sf_dir, "embeddings")
+    firsts = keep_first(rows, ["label"], [F.asc("vec_id")]).select("label", "embedding").collect()  # one a label
+    found = vectors.match_by_vector(rows, {str(r["label"]): r["embedding"] for r in firsts}, 20)
+    return found.withColumn("score", F.round("score", 6))
+
+
+def _late_batches(spark, sf_dir):
+    """Three deliveries of events: most, then repeats with some new ones, then what was held back."""
+    path = scratch_path(spark, "deliveries")
+    events = table(spark, sf_dir, "events", "event_id", "event_type", "ts").withColumn("ts", F.col("ts").cast("timestamp"))
+    for i, part in enumerate(("event_id % 7 <> 0", "event_id % 3 = 0", "event_id % 7 = 0")):
+        events.filter(part).coalesce(1).write.parquet(f"{path}/part={i}")
+    return path, events.schema
+
+
+@query("stream_late", """
+WITH e AS (SELECT event_id, event_type, ts FROM events),
+marks AS (SELECT max(ts) FILTER (event_id % 7 <> 0) - INTERVAL 10 DAY AS b, max(ts) FILTER (event_id % 7 <> 0 OR event_id % 3 = 0) - INTERVAL 10 DAY AS c FROM e),
+fates AS (
+  SELECT event_type, CASE WHEN event_id % 7 <> 0 THEN 'first'
+    WHEN ts >= CASE WHEN event_id % 3 = 0 THEN b ELSE c END THEN 'first' ELSE 'late' END AS fate FROM e, marks
+  UNION ALL SELECT event_type, 'repeat' FROM e WHERE event_id % 7 <> 0 AND event_id % 3 = 0
+  UNION ALL SELECT event_type, 'repeat' FROM e WHERE event_id % 21 = 0)
+SELECT fate, event_type, count(*) AS n FROM fates GROUP BY 1, 2""")
+def stream_late(spark, sf_dir):
+    """Every arrival of a stream as first, repeat or late first; none goes uncounted."""
+    path, schema = _late_batches(spark, sf_dir)
+    out, mark = scratch_path(spark, "arrivals"), scratch_path(spark, "checkpoint")
+    records = (spark.readStream.schema(schema).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", 1)
+               .parquet(path))  # oldest file first
+    _run(late.arrivals(records, ["event_id"], "ts", out, mark, 10))
+    return late.read_arrivals(spark, out).groupBy("fate", "event_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("stream_daily_late", """
+SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2""")
+def stream_daily_late(spark, sf_dir):
+    """Counts per day and type that take late rows in, delivery by delivery."""
+    path, schema = _late_batches(spark, sf_dir)
+    out = scratch_path(spark, "daily")
+    for i, mark in ((0, scratch_path(spark, "checkpoint")), (2, scratch_path(spark, "checkpoint"))):  # what part 1 repeats is left out
+        records = spark.readStream.schema(schema).parquet(f"{path}/part={i}")
+        _run(late.daily_partials(records, "ts", ["event_type"], out, mark))
+    return late.daily_totals(spark, out, ["event_type"]).select("day", "event_type", "n")
+
+
 # --- streams ------------------------------------------------------------------
 def _event_stream(spark, sf_dir):
     """The events file as a stream; more files of the same name pattern would follow it."""

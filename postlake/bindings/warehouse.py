@@ -348,6 +348,23 @@ def job_match_profile_skills(spark, sf_dir):
                       target_skills=["SQL", "python", "Docker"], seniority_level="MID")
 
 
+def _any_of(*names: str) -> str:
+    listed = ", ".join(f"'{n}'" for n in names)
+    return f"CASE WHEN list_has_any(string_split(matched_skills, ', '), [{listed}]) THEN 1 ELSE 0 END"
+
+
+@query("job_match_aliases", O.select(
+    O.match_chain(("DE",), "ANY", 0.0, "MID", f"CAST({_any_of('SQL', 'dbt', 'Power BI')} + {_any_of('Python')} + {_any_of('Docker', 'Kubernetes')} AS DOUBLE) / CAST(3 AS DOUBLE)"),
+    _MATCH_SELECT))
+def job_match_aliases(spark, sf_dir):
+    """Skill factor by equivalent names: aliases hold both ways and through others."""
+    pairs = [("dbt", "sql"), ("Power BI", "DBT"), ("docker", "Kubernetes"), ("SQL", "sql"), (None, "Python")]
+    star = bound(spark, sf_dir).star().replace(profiles=profile_row(
+        spark, AS_OF, target_roles=["DE"], target_skills=["SQL", "python", "Docker"], seniority_level="MID"))
+    df = matching.job_match(star, AS_OF, aliases=spark.createDataFrame(pairs, "name string, alias string"))
+    return df.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("first_seen_at", "last_seen_at")})
+
+
 _ROLE_CASE = ("CASE c_mktsegment WHEN 'BUILDING' THEN 'DE' WHEN 'MACHINERY' THEN 'SWE' "
               "WHEN 'HOUSEHOLD' THEN 'DA' WHEN 'FURNITURE' THEN 'BI' WHEN 'AUTOMOBILE' THEN 'DS' END")
 

@@ -117,6 +117,24 @@ def page(matching: DataFrame, sort: str, number: int, size: int) -> DataFrame:
     return rows.withColumn("total_matches", total)
 
 
+def after(matching: DataFrame, sort: str, size: int, last: tuple | None = None) -> DataFrame:
+    """The page after a row, in the order of ``page``; the first page without one.
+
+    ``last`` is the sort value (may be None) and the posting id of the last row seen.  The seek is
+    a filter, so a deep page costs what the first does: a top-k of what is left.
+    """
+    direction, column = SORTS[sort]
+    if last is not None:
+        value, key = last
+        at, beyond = F.col(column), F.col("posting_id") > key
+        if value is None:  # NULLs are at the end of every order
+            matching = matching.filter(at.isNull() & beyond)
+        else:
+            further = at > F.lit(value) if direction is F.asc_nulls_last else at < F.lit(value)
+            matching = matching.filter(further | at.isNull() | ((at == F.lit(value)) & beyond))
+    return matching.orderBy(direction(column), F.asc("posting_id")).limit(size)
+
+
 def new_matches(matches: DataFrame, app_state: DataFrame, threshold: float) -> DataFrame:
     """Good matches first seen after the last visit; everything counts before a first visit."""
     seen = app_state.filter(F.col("state_key") == "last_viewed_at").agg(

@@ -8,15 +8,16 @@ from pyspark.sql import functions as F
 from postlake.sources.schemas import columns
 
 
-def keep_first(df: DataFrame, keys: list[str | Column], order: list[Column]) -> DataFrame:
-    """The first row of each key.
+def keep_first(df: DataFrame, keys: list[str | Column], order: list[Column], k: int = 1, rank: str | None = None) -> DataFrame:
+    """The first row of each key, or the first ``k``, with their places as ``rank`` if named.
 
-    Written as ``row_number() == 1`` so that Spark trims every map task to one row
+    Written as ``row_number() <= k`` so that Spark trims every map task to so many rows
     per key before the shuffle: a key holding a third of the table sends one row
     per task, not a third of the table.
     """
     window = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(window)).filter("_rn = 1").drop("_rn")
+    kept = df.withColumn("_rn", F.row_number().over(window)).filter(F.col("_rn") <= k)
+    return kept.withColumnRenamed("_rn", rank) if rank else kept.drop("_rn")
 
 
 def collapse_repulls(df: DataFrame, seen: str = "seen_at") -> DataFrame:

@@ -1,9 +1,10 @@
 """Dictionary tagging: which terms a text holds as whole words.
 
-Two plans give the same answer.  A dictionary of a few hundred terms is folded
-into regular expressions that scan each text once, with no join.  A larger one is
-joined: the text is cut at word boundaries into alternating runs, and every
-boundary-to-boundary span as long as some term is looked up by equality.
+Two plans give the same answer, by one definition of a word.  ``PATTERN`` folds the
+dictionary into regular expressions that scan each text once, with no join; it suits a
+dictionary written down in code.  ``JOIN`` cuts the text at word boundaries into alternating
+runs and looks every boundary-to-boundary span as long as some term up by equality; it takes a
+dictionary of any size.
 """
 
 from __future__ import annotations
@@ -14,8 +15,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-PATTERN_TERMS_MAX = 400
+PATTERN, JOIN = "pattern", "join"
 _WORD = r"\p{L}\p{Nd}\p{Mn}_"
+_EDGE = f"(?:(?<=[{_WORD}])(?![{_WORD}])|(?<![{_WORD}])(?=[{_WORD}]))"  # between a word character and another
 RUNS = f"[{_WORD}]+|[^{_WORD}]+"
 
 
@@ -67,7 +69,7 @@ def found_terms(text: Column, terms: Sequence[str]) -> Column:
     """Array of the distinct lower-cased terms present in the text."""
     lowered = F.lower(text)
     hits = [
-        F.regexp_extract_all(lowered, F.lit(r"\b(" + "|".join(map(_quote, group)) + r")\b"), F.lit(1))
+        F.regexp_extract_all(lowered, F.lit(f"{_EDGE}({'|'.join(map(_quote, group))}){_EDGE}"), F.lit(1))
         for group in pattern_groups(terms)
     ]
     return F.array_distinct(hits[0] if len(hits) == 1 else F.concat(*hits))
@@ -121,21 +123,21 @@ def tag_by_join(df: DataFrame, key: str, text: Column, dictionary: DataFrame,
     return spans.join(words, "term").select(key, "term")
 
 
-def tag(df: DataFrame, key: str, text: Column, terms: Sequence[str]) -> DataFrame:
-    """(key, term) pairs for a dictionary given as a list; the plan follows its size."""
-    if len(terms) <= PATTERN_TERMS_MAX:
+def tag(df: DataFrame, key: str, text: Column, terms: Sequence[str], plan: str = PATTERN) -> DataFrame:
+    """(key, term) pairs for a dictionary given as a list; ``plan`` chooses how, not what."""
+    if plan == PATTERN:
         return tag_by_pattern(df, key, text, terms)
     words = df.sparkSession.createDataFrame([(t,) for t in terms], "term string")
     return tag_by_join(df, key, text, words)
 
 
 def skill_mentions(postings: DataFrame, skills: Sequence[str], key: str = "posting_id",
-                   title: str = "job_title", text: str = "description") -> DataFrame:
+                   title: str = "job_title", text: str = "description", plan: str = PATTERN) -> DataFrame:
     """(posting, skill) pairs over title and description.
 
     ``found_terms`` is already distinct within a row and postings are unique by
     key, so no shuffle is needed to remove repeats.
     """
     whole = F.concat(F.col(title), F.lit(" "), F.coalesce(F.col(text), F.lit("")))
-    return tag(postings, key, whole, skills).select(
+    return tag(postings, key, whole, skills, plan).select(
         key, F.md5(F.col("term").cast("binary")).alias("skill_id"))

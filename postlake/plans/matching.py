@@ -9,6 +9,7 @@ from postlake import vocabulary as V
 from postlake.functions.numbers import steady_round
 from postlake.functions.text import first_match, has_word
 from postlake.functions.time import day, likely_closed
+from postlake.operators.aliases import canonical, closure
 from postlake.operators.profiles import current_profile
 from postlake.plans.star import Star, current_companies
 
@@ -122,10 +123,25 @@ def _seeking(level: Column) -> Column:
     return F.when(level.isin("ENTRY", "SENIOR"), level).otherwise("OTHER")
 
 
+def equivalent_skills(star: Star, wanted: DataFrame, names: DataFrame) -> tuple[DataFrame, Column]:
+    """Canonical skill names per posting, and those that a profile wants.
+
+    ``wanted`` is the profile's row; both sides go through the closure ``names`` of the aliases.
+    """
+    skills = canonical(star.skills, "skill_name", names)
+    held = (star.mentions.join(skills, "skill_id").groupBy("posting_id")
+            .agg(F.collect_set("skill_name").alias("canonical_names")))  # at most the dictionary
+    each = canonical(wanted.select(F.explode("target_skills").alias("skill_name")), "skill_name", names)
+    return held, each.agg(F.collect_set("skill_name").alias("w")).scalar()
+
+
 def job_match(star: Star, as_of, profile_id: str = "default",
-              profile_skills_only: bool = False) -> DataFrame:
+              profile_skills_only: bool = False, aliases: DataFrame | None = None) -> DataFrame:
     """Score of every visible live posting for one profile.
 
+    With ``aliases`` (``name, alias``) the skill factor is the share of the profile's skills that
+    the posting mentions under any equivalent name.
+
     The profile is a single row, read as a scalar subquery: its fields are
     constants to the scan of postings and no join is planned for it.
     """
@@ -139,6 +155,10 @@ def job_match(star: Star, as_of, profile_id: str = "default",
         seniority = F.when(seeking == kind, score).otherwise(seniority)
     skill = (relative_skill_factor(F.col("skill_names"), F.col("p.target_skills"))
              if profile_skills_only else skill_factor(F.col("skill_points")))
+    if aliases is not None:
+        held, wanted = equivalent_skills(star, stored, closure(aliases))
+        posts = posts.join(held, "posting_id", "left").withColumn("canonical_wanted", wanted)
+        skill = relative_skill_factor(F.col("canonical_names"), F.col("canonical_wanted"))
     factors = {
         "skill": skill,
         "role": role_factor(F.col("role_family"),

@@ -175,13 +175,15 @@ def stamp(records: DataFrame, run_id: str, as_of, source: str | None = None,
 def append_raw(raw: DataFrame, path: str, partition_by=("source_id", "ingest_date")) -> int:
     """Append landed rows, partitioned by source and day, and return how many.
 
-    The count is observed while writing; no second pass.
+    Rows are first brought together by partition, so that a folder gets files of good size and
+    not one from every task; Spark splits a large folder over several tasks.  The count is
+    observed while writing; no second pass.
     """
     seen = Observation()
     counted = raw.observe(seen, F.count(F.lit(1)).alias("rows"))
     if "ingest_date" in partition_by:
         counted = counted.withColumn("ingest_date", F.to_date("ingested_at"))
-    counted.write.mode("append").partitionBy(*partition_by).parquet(path)
+    counted.hint("rebalance", *partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
     return int(seen.get["rows"])
 
 

@@ -59,7 +59,7 @@ def upsert_stream(records: DataFrame, store: Snapshots, table: str, keys: list[s
         merged = merge_upsert(store.read(table), prepare(batch), keys, update, order)
         store.commit(table, merged, batch=(stream_id(store.spark, checkpoint), batch_id))
 
-    return _for_each(records, merge, checkpoint, mode)
+    return for_each(records, merge, checkpoint, mode)
 
 
 def stream_id(spark: SparkSession, checkpoint: str) -> str:
@@ -78,10 +78,10 @@ def fact_stream(staged: DataFrame, path: str, checkpoint: str) -> StreamingQuery
                             [F.desc("last_seen_at"), F.desc("first_seen_at")])
         upsert_fact_months(batch.sparkSession, path, unique)
 
-    return _for_each(staged, merge, checkpoint, "append")
+    return for_each(staged, merge, checkpoint, "append")
 
 
-def _for_each(records: DataFrame, work: Callable[[DataFrame, int], None], checkpoint: str,
+def for_each(records: DataFrame, work: Callable[[DataFrame, int], None], checkpoint: str,
               mode: str) -> StreamingQuery:
     return (records.writeStream.foreachBatch(work).outputMode(mode)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
