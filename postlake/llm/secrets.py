@@ -2,10 +2,11 @@
 
 Each text starts a worklist.  A layer is scanned for secrets, then unwrapped: the whole
 layer with its percent escapes decoded, the whole layer with its ``\\u`` escapes decoded,
-and each base64 run decoded on its own, at each of the four places its groups can start.
-Text in the bytes is a layer; zlib, gzip, bzip2 and zstandard streams in them are inflated,
-all members and frames in a row, and so are the streams inside, until text is reached;
-large ones in pieces cut where no match can lie across.
+and each base64 run decoded on its own, at each of the four places its groups can start; runs
+that go on over line ends are also decoded joined.  Text in the bytes is a layer, as UTF-8 or
+UTF-16, whole or in stretches between other bytes; zlib, gzip, bzip2 and zstandard streams
+in them are inflated, all members and frames in a row, and so are the streams inside, until
+none is left; large ones in pieces cut where no match can lie across.
 New layers go on the worklist until none is left; a layer that was
 seen before in the same document is not scanned again, which also ends cycles.  Each
 character of a layer carries the span of the original text it came from, so every find
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postlake.llm.common import map_batches, shipped, text_strings
+from postlake.llm.common import fresh, map_batches, shipped, text_strings
 
 # fixed values: the patterns and least lengths of the three kinds
 KINDS = ("assign", "access", "hex")
@@ -42,12 +43,15 @@ ASSIGN_LEAST, ACCESS_LEAST = 6, 20
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+LINE_END = re.compile(r"\r?\n[ \t]*")
+LAST_LINE = re.compile(r"\r?\n[ \t]*([A-Za-z0-9+/_-]{1,15}={0,2})(?![A-Za-z0-9+/_-])")
 MAGIC = ((b"\x1f\x8b", "gzip"), (b"x\x01", "zlib"), (b"x^", "zlib"), (b"x\x9c", "zlib"), (b"x\xda", "zlib"),
          (b"BZh", "bzip2"), (b"\x28\xb5\x2f\xfd", "zstd"))
 INFLATED_BYTES = 64 << 20  # a stream beyond this is read in pieces; an unbroken run beyond it is cut and counted in ``n_refused``
 PIECE_BYTES, OVERLAP, LARGE = 8 << 20, 4096, 1 << 20
 STREAM = re.compile(rb"\x1f\x8b\x08|x[\x01^\x9c\xda]|BZh[1-9]1AY&SY|\x28\xb5\x2f\xfd")  # where a stream may begin
 STRETCH = re.compile(rb"(?:[\t\r\n\x20-\x7e]|[\xc2-\xdf][\x80-\xbf]|[\xe0-\xef][\x80-\xbf]{2}|[\xf0-\xf4][\x80-\xbf]{3}){12,}")  # no find is shorter
+WIDE = (re.compile(rb"(?:[\t\r\n\x20-\x7e]\x00){12,}"), re.compile(rb"(?:\x00[\t\r\n\x20-\x7e]){12,}"))  # UTF-16, either byte first
 APART = re.compile(rb"[^A-Za-z0-9+/_.=%:\"'\\ \x80-\xff-]")  # bytes that no match and no encoded run can hold
 
 FOUND = T.ArrayType(T.StructType([
@@ -82,6 +86,32 @@ def opened(kind: str):
     return zlib.decompressobj(47)
 
 
+def stream_starts(data: bytes) -> Iterator[int]:
+    """Places where a stream begins: its mark, and a first stretch that can be inflated."""
+    for m in STREAM.finditer(data):
+        kind = magic(m[0])
+        if kind in ("gzip", "zlib"):  # short marks, found by chance in any bytes
+            try:
+                if not opened(kind).decompress(data[m.start():m.start() + 4096]) and len(data) - m.start() > 4096:
+                    continue
+            except zlib.error:
+                continue
+        yield m.start()
+
+
+def unpacked(data: bytes) -> Iterator[tuple[bytes, int, bool]]:
+    """``content`` of a stream, and of the streams between other bytes in what it holds."""
+    todo, seen = [(data, 0)], set()
+    while todo:
+        data, base = todo.pop()
+        for made, level, over in content(data):
+            yield made, base + level, over
+            mark = hashlib.sha1(made).digest()
+            if mark not in seen:
+                seen.add(mark)
+                todo += [(made[at:], base + level) for at in stream_starts(made) if at]
+
+
 def cut_up(data: bytes) -> Iterator[bytes]:
     return (data[i:i + 1024] for i in range(0, len(data), 1024))
 
@@ -197,6 +227,39 @@ def readable(data: bytes) -> str | None:
     return text if text and sum(c.isprintable() or c in "\t\r\n" for c in text) >= 0.9 * len(text) else None
 
 
+def texts_in(data: bytes) -> Iterator[tuple[str, np.ndarray]]:
+    """The texts in some bytes, and the byte where each character starts."""
+    plain = readable(data)
+    stretches = [(0, plain)] if plain is not None else [(m.start(), m[0].decode("utf-8", "replace")) for m in STRETCH.finditer(data)]
+    for at, text in stretches:
+        sizes = np.array([len(c.encode("utf-8", "replace")) for c in text]) if not text.isascii() else np.ones(len(text), dtype=np.int64)
+        yield text, at + np.cumsum(sizes) - sizes
+    if b"\0" in data:
+        for first, pattern in enumerate(WIDE):
+            for m in pattern.finditer(data):
+                yield m[0][first::2].decode("ascii"), m.start() + 2 * np.arange(len(m[0]) // 2)
+
+
+def encoded_runs(text: str) -> Iterator[list[tuple[int, int]]]:
+    """Places of each base64 run, and of runs that go on over line ends, joined."""
+    held: list[tuple[int, int]] = []
+
+    def joined() -> Iterator[list[tuple[int, int]]]:
+        if held and text[held[-1][1] - 1] != "=" and (more := LAST_LINE.match(text, held[-1][1])):
+            held.append(more.span(1))
+        if len(held) > 1:
+            yield held
+
+    for m in BASE64.finditer(text):
+        one = m.span()
+        yield [one]
+        if held and (text[held[-1][1] - 1] == "=" or not LINE_END.fullmatch(text, held[-1][1], one[0])):
+            yield from joined()
+            held = []
+        held.append(one)
+    yield from joined()
+
+
 class Layer:
     """A text and, for each of its characters, where it starts and ends in the original."""
 
@@ -224,13 +287,12 @@ class Layer:
         return Layer("".join(out), np.concatenate([*starts, self.starts[at:]]),
                      np.concatenate([*ends, self.ends[at:]]), self.depth + 1)
 
-    def decoded(self, found: str, at: int, first: int) -> Layer:
-        """Text from byte ``first`` on of the base64 groups that start at ``at``."""
-        sizes = np.array([len(c.encode()) for c in found])
-        last = first + np.cumsum(sizes) - 1
-        start = last - sizes + 1
+    def decoded(self, found: str, places: np.ndarray, start: np.ndarray) -> Layer:
+        """Text whose characters start at some bytes of the base64 groups at ``places``."""
+        last = np.maximum(start, np.concatenate([start[1:] - 1, start[-1:]]))
         # byte i comes from characters 4 * (i // 3) + i % 3 and the next one
-        return Layer(found, self.starts[at + 4 * (start // 3) + start % 3], self.ends[at + 4 * (last // 3) + last % 3 + 1], self.depth + 1)
+        return Layer(found, self.starts[places[4 * (start // 3) + start % 3]],
+                     self.ends[places[4 * (last // 3) + last % 3 + 1]], self.depth + 1)
 
     def unwrapped(self) -> Iterator[tuple[Layer | None, int]]:
         """The layers directly inside, and for each how many runs were cut."""
@@ -239,33 +301,27 @@ class Layer:
             yield self.replaced(PERCENT, lambda s: urllib.parse.unquote_to_bytes(s).decode("utf-8", "replace")), 0
         if "\\u" in text:
             yield self.replaced(ESCAPE, lambda s: chr(int(s[2:], 16))), 0
-        for m in BASE64.finditer(text):
-            whole = m[0].rstrip("=").replace("-", "+").replace("_", "/")
+        for spans in encoded_runs(text):
+            whole = "".join(text[a:b] for a, b in spans).rstrip("=").replace("-", "+").replace("_", "/")
+            where = np.concatenate([np.arange(a, b) for a, b in spans])
             for phase in range(4):
-                run = whole[phase:]
+                run, places = whole[phase:], where[phase:]
                 run = run[:len(run) - (len(run) % 4 == 1)]
                 try:
                     data = base64.b64decode(run + "=" * (-len(run) % 4))
                 except (binascii.Error, ValueError):
                     continue
-                a, b = m.start() + phase, m.end()
-                plain = readable(data)
-                if plain is not None:
-                    yield self.decoded(plain, a, 0), 0
-                else:
-                    for part in STRETCH.finditer(data):
-                        try:
-                            yield self.decoded(part[0].decode("utf-8"), a, part.start()), 0
-                        except UnicodeDecodeError:  # surrogates and the like
-                            continue
-                for begin in STREAM.finditer(data):
-                    at = begin.start()
-                    lo = a + 4 * (at // 3) + at % 3
-                    for made, level, over in content(data[at:]):
-                        found = readable(made)
-                        yield None if found is None else Layer(
-                            found, np.broadcast_to(self.starts[lo:b].min(), len(found)),
-                            np.broadcast_to(self.ends[lo:b].max(), len(found)), self.depth + level), int(over)
+                for found, start in texts_in(data):
+                    if found:
+                        yield self.decoded(found, places, start), 0
+                for at in stream_starts(data):
+                    inside = places[4 * (at // 3) + at % 3:]
+                    lo, hi = self.starts[inside].min(), self.ends[inside].max()
+                    for made, level, over in unpacked(data[at:]):
+                        layers = [Layer(found, np.broadcast_to(lo, len(found)), np.broadcast_to(hi, len(found)), self.depth + level)
+                                  for found, _ in texts_in(made)]
+                        yield None, int(over)
+                        yield from ((layer, 0) for layer in layers)
 
 
 def worklist(text: str) -> tuple[list[tuple[Span, int]], int]:
@@ -333,7 +389,10 @@ def scan_secrets(docs: DataFrame, mark: str = "[SECRET]", text: str = "text", ke
 
 
 def secret_digests(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """Counts and span lists of the same scan, without the masked texts."""
+    """Counts and span lists of the same scan, without the masked texts.
+
+    Nulls, empty texts, repeated rows, empty tables and other columns as in ``scan_secrets``.
+    """
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_assign", T.LongType()),
                            T.StructField("n_access", T.LongType()), T.StructField("n_hex", T.LongType()),
                            T.StructField("base_sha256", T.StringType()), T.StructField("spans", T.StringType()),
@@ -358,9 +417,11 @@ def secret_digests(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
 def mask_documents(docs: DataFrame, mark: str = "[SECRET]", refused: Observation | None = None) -> DataFrame:
     """The documents with their secrets masked; columns as before, ``n_chars`` of the new text.
 
-    ``refused`` observes the sum of ``n_refused`` when the rows are written.
+    Null and empty texts stay as they are, repeated rows are masked each, an empty table gives no
+    rows, other columns may have any name.  ``refused`` observes the sum of ``n_refused`` when the
+    rows are written.
     """
-    names = docs.columns
+    names, cut = docs.columns, fresh(docs, "_refused")
     shipped(docs.sparkSession)
 
     def run(batches):
@@ -375,9 +436,9 @@ def mask_documents(docs: DataFrame, mark: str = "[SECRET]", refused: Observation
                 over.append(n)
             columns = list(batch.columns)
             columns[at] = pa.array(made, type=pa.string())
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(over, type=pa.int32())], names=[*batch.schema.names, "_refused"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(over, type=pa.int32())], names=[*batch.schema.names, cut])
 
-    masked = docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("_refused", T.IntegerType())]))
+    masked = docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(cut, T.IntegerType())]))
     if refused is not None:
-        masked = masked.observe(refused, F.coalesce(F.sum("_refused"), F.lit(0)).alias("n_refused"))
+        masked = masked.observe(refused, F.coalesce(F.sum(cut), F.lit(0)).alias("n_refused"))
     return masked.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(*names)

@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import base64
+import gzip
+import io
 import math
 import random
 import re
+import tarfile
+import zlib
 from collections import Counter
 from itertools import permutations
 
 import numpy as np
 from pyspark.sql import functions as F
 
-from postlake.llm import balltree, interaction, reputation
+from postlake.llm import balltree, interaction, reputation, secrets
 from postlake.llm.queries import URL_RULES
 
 PAGES = "page_id long, url string, html string, host string, said string"
@@ -157,3 +162,81 @@ def test_tree_bounds_hold_and_prune():
         assert sorted(best, key=lambda e: (-e[0], e[1])) == sorted(zip(scores.tolist(), tree.keys.tolist()), key=lambda e: (-e[0], e[1]))[:10]
         seen += leaves
     assert seen < 0.7 * whole * len(queries)
+
+
+def found_in(text):
+    spans, refused = secrets.worklist(text)
+    return [s for s, _ in spans], refused
+
+
+def test_secrets_in_binary_wrapped_and_wide_layers():
+    secret, draw = b"password=hunter2000", random.Random(6)
+    noise = bytes(draw.randrange(128, 256) for _ in range(3000))
+    packed = gzip.compress(noise + secret + noise)
+    out = io.BytesIO()
+    with tarfile.open(fileobj=out, mode="w:gz") as tar:
+        info = tarfile.TarInfo("settings")
+        info.size = len(noise) + len(secret) + 2
+        tar.addfile(info, io.BytesIO(noise + b"\n" + secret + b"\n"))
+    for data in (packed, out.getvalue(), zlib.compress(noise + gzip.compress(noise + secret))):
+        run = base64.b64encode(data).decode()
+        spans, refused = found_in(f"a {run} b")
+        assert not refused and any(k == 0 and a >= 2 and b <= 2 + len(run) for a, b, k in spans)
+        wrapped = base64.encodebytes(data).decode()
+        spans, _ = found_in("head\n" + wrapped + "\ntail of the text")
+        assert any(k == 0 and a >= 5 and b <= 5 + len(wrapped) for a, b, k in spans)
+    for end in ("\n", "\r\n  "):  # plain text over a line end: the span reaches over it
+        lines = base64.b64encode(b"x" * 50 + secret + b" and more of it " * 4).decode()
+        text = end.join(lines[i:i + 76] for i in range(0, len(lines), 76))
+        spans, _ = found_in(text)
+        assert any(a < 76 < b and k == 0 for a, b, k in spans)
+        assert "[S]" in secrets.mask(text, spans, "[S]")
+    for code in ("utf-16-le", "utf-16-be", "utf-16"):
+        run = base64.b64encode(f"set token: abcdef123456 é ok {code}".encode(code)).decode()
+        spans, _ = found_in(run)
+        assert any(k == 0 and b - a <= 70 for a, b, k in spans), code
+
+
+def brute_base(text):
+    """Base matches written out by hand: leftmost, non-overlapping, per kind."""
+    out, names = [], ("password", "passwd", "secret", "token", "apikey", "api_key")
+    run = lambda at, allowed: next((i for i in range(at, len(text)) if text[i] not in allowed), len(text))
+    value = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-")
+    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+    i = 0
+    while i < len(text):
+        name = next((n for n in names if low.startswith(n, i)), None)
+        if name:
+            at = i + len(name)
+            at += at < len(text) and text[at] in "\"'"
+            at = run(at, " ")
+            if at < len(text) and text[at] in ":=":
+                at = run(at + 1, " ")
+                at += at < len(text) and text[at] in "\"'"
+                end = run(at, value)
+                if end > at:
+                    if end - at >= 6:
+                        out.append((i, end, 0))
+                    i = end
+                    continue
+        i += 1
+    for kind, start, allowed, least in ((1, "AKIA", set("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"), 20), (2, "", set("0123456789abcdef"), 24)):
+        i = 0
+        while i < len(text):
+            end = run(i + len(start), allowed) if text.startswith(start, i) else i
+            if end > i + len(start):
+                if end - i >= least:
+                    out.append((i, end, kind))
+                i = end
+            else:
+                i += 1
+    return sorted(out, key=lambda s: (s[0], s[2]))
+
+
+def test_base_spans_equal_brute_force(spark):
+    draw = random.Random(9)
+    bits = ["password", "PassWD", "secret", "api_key", "APIKEY", "token", '"', "'", " ", "  ", ":", "=", "==", "AKIA", "AKIAAKIA", "ABCDEFGH12345678", "0123456789abcdef",
+            "deadbeefdeadbeefdeadbeef", "hunter2000", "short", "é", "\n", "%41", "z", "x" * 20]
+    texts = ["".join(draw.choice(bits) for _ in range(draw.randrange(40))) for _ in range(400)]
+    for text in texts:
+        assert secrets.scan(text) == brute_base(text), text
