@@ -170,10 +170,6 @@ class PieceCodec:
                 at -= len(token)
                 last = tokens[-1] if tokens else ""
                 token = self.shortened(token)
-        if SPACE + SPACE in text:  # runs of spaces share one score: an exact check by plain merging
-            run = len(text) - len(text.lstrip(SPACE))
-            if run <= 512:
-                return merge(text, self.scores) if size <= 1024 else tokens
         return tokens
 
     def part_ids(self, part: str) -> list[int]:
