@@ -30,7 +30,7 @@ DICTIONARY = 64 << 10
 LEVEL = 3
 EXCESS, EVIDENCE = 8.0, 20.0  # least ratio of rates and least likelihood ratio (G) of a marking stretch
 SAMPLE = 2000  # labelled rows of each class the model is fitted on, at most
-SAMPLE_CHARS = 20_000  # only texts up to this length are fitted on; all texts are scored, whole
+SAMPLE_CHARS, SAMPLE_WINDOWS = 12_000, 12  # a longer sampled text is fitted on by windows spread evenly over it; all texts are scored, whole
 SCORED = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("score", T.DoubleType())])
 
 
@@ -204,6 +204,14 @@ def fit(toxic: list[str], ordinary: list[str], base: float) -> Model:
     return model
 
 
+def windows_of(text: Column) -> Column:
+    """The text, or windows from its first to its last character if it is long."""
+    each = SAMPLE_CHARS // SAMPLE_WINDOWS
+    room = F.char_length(text) - each
+    parts = [F.substring(text, (room * i / (SAMPLE_WINDOWS - 1)).cast("int") + 1, F.lit(each)) for i in range(SAMPLE_WINDOWS)]
+    return F.when(F.char_length(text) > SAMPLE_CHARS, F.concat_ws("\n", *parts)).otherwise(text)
+
+
 def train(docs: DataFrame, labels: DataFrame, training: Column | None = None, sample: int = SAMPLE) -> Model:
     """Fit on at most ``sample`` labelled rows of each class, picked by a hash of ``doc_id``.
 
@@ -219,7 +227,7 @@ def train(docs: DataFrame, labels: DataFrame, training: Column | None = None, sa
     chosen = {}
     for toxic in (1, 0):
         ids = marks.where(F.col("toxic") > 0 if toxic else F.col("toxic") <= 0).orderBy(pick, "doc_id").limit(sample).select("doc_id")
-        texts = (docs.select("doc_id", "text").where(F.char_length("text").between(1, SAMPLE_CHARS))
+        texts = (docs.select("doc_id", windows_of(F.col("text")).alias("text")).where("text != ''")
                  .join(F.broadcast(ids), "doc_id", "left_semi")  # at most ``sample`` ids
                  .groupBy("doc_id").agg(F.min("text").alias("text")).orderBy("doc_id"))
         chosen[toxic] = [r["text"] for r in texts.select("text").collect()]
@@ -258,7 +266,11 @@ def scored(texts: list[bytes], model: Model) -> np.ndarray:
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFrame:
-    """The documents that score under ``least``; columns as before."""
+    """The documents that score under ``least``; columns as before.
+
+    Null and empty texts, repeated rows and missing labels as in ``train`` and ``score``; an empty
+    table gives no rows; other columns may have any name.
+    """
     model = train(docs, labels)
     schema = docs.schema
     shipped(docs.sparkSession)

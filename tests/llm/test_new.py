@@ -16,7 +16,7 @@ from itertools import permutations
 import numpy as np
 from pyspark.sql import functions as F
 
-from postlake.llm import balltree, interaction, reputation, secrets
+from postlake.llm import balltree, interaction, pieces, reputation, secrets, toxicity
 from postlake.llm.queries import URL_RULES
 
 PAGES = "page_id long, url string, html string, host string, said string"
@@ -240,3 +240,36 @@ def test_base_spans_equal_brute_force(spark):
     texts = ["".join(draw.choice(bits) for _ in range(draw.randrange(40))) for _ in range(400)]
     for text in texts:
         assert secrets.scan(text) == brute_base(text), text
+
+
+def test_long_texts_train_the_classifier(spark):
+    draw = random.Random(12)
+    words = [f"word{i}" for i in range(300)]
+    rows, labels = [], []
+    for i in range(120):
+        own = [draw.choice(words) for _ in range(4500)]
+        if i % 2:
+            own = [w if draw.random() > 0.05 else draw.choice(["loathsome", "despicable"]) for w in own]
+        rows.append((i, " ".join(own)))
+        labels.append((i, 1, i % 2))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert min(len(t) for _, t in rows) > 20_000
+    model = toxicity.train(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), F.col("doc_id") < 80)
+    held = toxicity.score(docs.where("doc_id >= 80"), model).collect()
+    assert sum((r.score >= 0.5) == bool(r.doc_id % 2) for r in held) >= 0.95 * len(held)
+    cut = spark.createDataFrame([("a" * 12_000,), ("b" + "a" * 30_000 + "c",), (None,), ("",)], "t string").select(toxicity.windows_of(F.col("t")).alias("t")).collect()
+    assert len(cut[0].t) == 12_000 and cut[1].t[0] == "b" and cut[1].t[-1] == "c" and len(cut[1].t) == 12_011 and cut[2].t is None and cut[3].t == ""
+
+
+def test_runs_of_spaces_and_long_words_equal_the_library():
+    import public_tokenizers
+    import sentencepiece
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    library, own, draw = sentencepiece.SentencePieceProcessor(model_file=path), pieces.codec(path), random.Random(2)
+    words = ["the", "Straße", "a", "token", "zzzzqqq", "日本", "internationalization", "é", "\n", "12345", "***"]
+    cases = [" " * k for k in (1, 2, 3, 17, 64, 511, 512, 513, 514, 1024, 5000)]
+    cases += [draw.choice(words) + " " * k + draw.choice(words) for k in (*range(2, 60), 512, 513, 3000)]
+    cases += ["  " + "".join(draw.choice("abcdefghij▁é") for _ in range(k)) for k in (1000, 1024, 1025, 3000, 8000)]
+    cases += ["".join(draw.choice(words) + " " * draw.choice([0, 1, 2, 3, 8, 16, 33]) for _ in range(10)) for _ in range(500)]
+    for text in cases:
+        assert own.encode(text) == library.encode(text), text[:80]
