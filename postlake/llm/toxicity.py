@@ -51,27 +51,38 @@ def lowered(text: str) -> bytes:
 def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All texts in one array with gaps, the 5-gram at each place, and each place's text."""
     gap = b"\0" * (GRAM + 2 * CONTEXT)
-    joined = np.frombuffer(gap + gap.join(texts) + gap, dtype=np.uint8).astype(np.uint64)
+    joined = np.frombuffer(gap + gap.join(texts) + gap, dtype=np.uint8)
     size = len(joined) - GRAM + 1
     codes = np.zeros(size, dtype=np.uint64)
-    for i in range(GRAM):
-        codes |= joined[i:i + size] << np.uint64(8 * i)
-    lengths = np.array([len(t) + len(gap) for t in texts])
-    owner = np.repeat(np.arange(len(texts)), lengths)
-    owner = np.concatenate([np.zeros(len(gap), dtype=int), owner])[:size]
+    for i in range(GRAM - 1, -1, -1):
+        codes <<= np.uint64(8)
+        codes |= joined[i:i + size]
+    lengths = np.array([len(gap), *(len(t) + len(gap) for t in texts)])
+    owner = np.repeat(np.array([0, *range(len(texts))], dtype=np.int32), lengths)[:size]
     return joined, codes, owner
 
 
 def gram_counts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct 5-grams and in how many texts each occurs in a context not seen before."""
+    """Distinct 5-grams and in how many texts each occurs in a context not seen before.
+
+    The driver's memory is bounded by some arrays of eight bytes a sampled character.
+    """
     _, codes, owner = grams(texts)
     mid = slice(CONTEXT, len(codes) - CONTEXT)
     with np.errstate(over="ignore"):
-        around = (codes[:-2 * CONTEXT] * np.uint64(0x9E3779B97F4A7C15) ^ codes[mid] * np.uint64(0xC2B2AE3D27D4EB4F)
-                  ^ codes[2 * CONTEXT:] * np.uint64(0x165667B19E3779F9))
-    first = np.unique(around, return_index=True)[1]
-    pairs = np.unique(np.stack([codes[mid][first], owner[mid][first].astype(np.uint64)]), axis=1)
-    return np.unique(pairs[0], return_counts=True)
+        around = codes[:-2 * CONTEXT] * np.uint64(0x9E3779B97F4A7C15)
+        around ^= codes[mid] * np.uint64(0xC2B2AE3D27D4EB4F)
+        around ^= codes[2 * CONTEXT:] * np.uint64(0x165667B19E3779F9)
+    order = np.argsort(around, kind="stable")
+    around = around[order]
+    first = order[np.concatenate([[True], around[1:] != around[:-1]])] if len(order) else order
+    del around, order
+    codes, owner = codes[mid][first], owner[mid][first]
+    order = np.lexsort((owner, codes))
+    codes, owner = codes[order], owner[order]
+    new = np.ones(len(codes), dtype=bool)
+    new[1:] = (codes[1:] != codes[:-1]) | (owner[1:] != owner[:-1])
+    return np.unique(codes[new], return_counts=True)
 
 
 def evidence(a: np.ndarray, b: np.ndarray, n_a: int, n_b: int) -> np.ndarray:
@@ -98,7 +109,7 @@ def marking(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
     weight = np.where(codes_a[at] == codes, counts_a[at], 0)
     places = np.flatnonzero(weight)
     runs = np.split(places, np.flatnonzero(np.diff(places) > 1) + 1)
-    text = joined.astype(np.uint8).tobytes()
+    text = joined.tobytes()
     found: Counter[bytes] = Counter()
     for run in runs:
         strong = run[weight[run] * 2 >= weight[run].max()]  # the edges of a run are chance neighbours
