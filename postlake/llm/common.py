@@ -6,6 +6,7 @@ import os
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,6 +35,8 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    for paths in TRACKED:
+        paths.append(path)
     before = spark.conf.get(CLEANUP, "false")
     spark.conf.set(CLEANUP, "true")
     try:
@@ -43,6 +46,27 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+TRACKED: list[list[str]] = []
+
+
+@contextmanager
+def tracked() -> Iterator[list[str]]:
+    """The scratch tables written inside the block, for ``forget`` when what came of them is stored."""
+    paths: list[str] = []
+    TRACKED.append(paths)
+    try:
+        yield paths
+    finally:
+        TRACKED.remove(paths)
+
+
+def forget(spark: SparkSession, paths: list[str]) -> None:
+    """Delete scratch tables that nothing reads any more."""
+    for path in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def as_table(df: DataFrame, name: str = "docs") -> DataFrame:
     """``df`` itself if it is a plain scan of Parquet files, else its rows written and read back."""
     plan = df._jdf.queryExecution().optimizedPlan().toString().strip().splitlines()

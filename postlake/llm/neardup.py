@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from postlake.llm.common import fresh, map_batches, numbered, ranked, shipped, stored, text_strings
+from postlake.llm.common import forget, fresh, map_batches, numbered, ranked, shipped, stored, text_strings, tracked
 from postlake.llm.components import components
 from postlake.llm.shingles import mixed, shingle_sets
 
@@ -359,9 +359,11 @@ def keep_first(docs: DataFrame, width: int = 5, percent: int = 80, before: DataF
     """
     name = fresh(docs, "_row")
     rows = numbered(docs, name)
-    found = found_components(rows, width, percent, row=name)
+    with tracked() as made:
+        found = found_components(rows, width, percent, row=name)
     if before is not None:
         found = stored(found, "present")
+        forget(docs.sparkSession, made)  # the second comparison needs the room
         joined = joined_before(found, before, width, percent)
         found = found.join(joined, "component", "left").withColumn("component", F.coalesce("label", "component"))
     place = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "row")
@@ -377,9 +379,11 @@ def joined_before(found: DataFrame, before: DataFrame, width: int, percent: int)
 
     before = before.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     earlier = before.join(once(before), "doc_id", "left_semi").join(once(found), "doc_id", "left_semi")
-    then = found_components(earlier, width, percent).select("doc_id", F.col("component").alias("then"))
+    with tracked() as made:
+        then = found_components(earlier, width, percent).select("doc_id", F.col("component").alias("then"))
     met = stored(found.where("component is not null").select("doc_id", "component").join(then.where("then is not null"), "doc_id")
                  .select("then", "component").distinct(), "then")
+    forget(found.sparkSession, made)
     heads = met.groupBy("then").agg(F.min("component").alias("a"), F.count("*").alias("n")).where("n > 1")
     links = met.join(heads, "then").select("a", F.col("component").alias("b"))
     return components(links).select(F.col("node").alias("component"), F.col("component").alias("label"))
