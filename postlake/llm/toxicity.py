@@ -14,6 +14,7 @@ turns them into a score calibrated to the share of toxic labels.
 from __future__ import annotations
 
 import math
+import pickle
 from collections import Counter
 from dataclasses import dataclass, field
 
@@ -226,6 +227,7 @@ def windows_of(text: Column) -> Column:
 def train(docs: DataFrame, labels: DataFrame, training: Column | None = None, sample: int = SAMPLE) -> Model:
     """Fit on at most ``sample`` labelled rows of each class, picked by a hash of ``doc_id``.
 
+    One task fits the sample, whose size is bounded; the driver gets the model alone.
     ``training`` says which label rows may be used.  Null labels are left out; of several
     labels of a document the highest counts.
     """
@@ -233,16 +235,24 @@ def train(docs: DataFrame, labels: DataFrame, training: Column | None = None, sa
     if training is not None:
         marks = marks.where(training)
     marks = marks.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    share = marks.agg(F.avg((F.col("toxic") > 0).cast("double"))).first()[0]
+    share = marks.agg(F.avg((F.col("toxic") > 0).cast("double"))).first()[0] or 0.0
     pick = F.xxhash64(F.col("doc_id").cast("string"), F.lit("sample"))
-    chosen = {}
+    parts = []
     for toxic in (1, 0):
         ids = marks.where(F.col("toxic") > 0 if toxic else F.col("toxic") <= 0).orderBy(pick, "doc_id").limit(sample).select("doc_id")
-        texts = (docs.select("doc_id", windows_of(F.col("text")).alias("text")).where("text != ''")
-                 .join(F.broadcast(ids), "doc_id", "left_semi")  # at most ``sample`` ids
-                 .groupBy("doc_id").agg(F.min("text").alias("text")).orderBy("doc_id"))
-        chosen[toxic] = [r["text"] for r in texts.select("text").collect()]
-    return fit(chosen[1], chosen[0], share or 0.0)
+        parts.append(docs.select("doc_id", windows_of(F.col("text")).alias("text")).where("text != ''")
+                     .join(F.broadcast(ids), "doc_id", "left_semi")  # at most ``sample`` ids
+                     .groupBy("doc_id").agg(F.min("text").alias("text")).select(F.lit(toxic).alias("toxic"), "doc_id", "text"))
+    shipped(docs.sparkSession)
+
+    def work(batches):
+        import pyarrow as pa
+        rows = sorted(row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
+        model = fit([t for toxic, _, t in rows if toxic], [t for toxic, _, t in rows if not toxic], share)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
+
+    made = parts[0].unionByName(parts[1]).repartition(1).mapInArrow(work, "model binary").first()
+    return pickle.loads(made["model"]) if made else fit([], [], share)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", key: str = "doc_id") -> DataFrame:
