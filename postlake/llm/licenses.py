@@ -3,23 +3,29 @@
 A multinomial logistic regression over word 1- and 2-grams is fitted on the driver from
 the templates below (shortened, embedded in other words, and mixed up as unknown
 examples), a few thousand short examples whatever the size of the corpus.  Its weights
-are a small table; paragraphs are scored by joining their n-grams to it.  Only paragraphs
-with an anchor word are scored: a confirmed paragraph must hold one.
+and the n-grams of the templates are one small table of fixed size, broadcast to the
+n-grams of the corpus; what is shuffled is one row of sums for each window.
+
+A paragraph is a run of lines without a blank one (nothing but signs counts as blank).  It
+is read in windows of twice the longest template's words, each begun half a window after
+the last, so that every notice lies whole in one wherever lines end.  Windows without any
+anchor word are skipped: anchors are chosen so that too little of any template is left
+without them to be confirmed.
 """
 
 from __future__ import annotations
 
 import functools
 import math
+import operator
 import random
 import re
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlake.llm.common import stored
-
 # fixed values: short notices by which the families are known
 TEMPLATES = {
     "apache-2.0": ("Licensed under the Apache License, Version 2.0.",
@@ -48,7 +54,8 @@ ORDINARY = ("the driver must carry a valid license for the car", "copyright law
             "the license office is open to the public", "see version 3 of the report", "the mit campus is large")
 FAMILIES = (*TEMPLATES, "unknown")
 WORD = r"[a-z0-9][a-z0-9.-]*[a-z0-9]|[a-z0-9]"
-ANCHOR = r"(?i)licen[cs]e|copyright|permission|rights reserved|redistribution|public domain"
+# fixed values: words too common to look for
+COMMON = frozenset("a all any be by for from in is not of or the this to under use with without work you version".split())
 COPIES = 40  # training examples of each template
 LEAST_OVERLAP = 0.6
 
@@ -61,27 +68,56 @@ def words_of(text: str) -> list[str]:
     return re.findall(WORD, text.lower())
 
 
+def longest() -> int:
+    """Words of the longest template: the step between windows."""
+    return max(len(words_of(n)) for notices in TEMPLATES.values() for n in notices)
+
+
+@functools.lru_cache(maxsize=1)
+def anchors() -> tuple[str, ...]:
+    """Words, at least one of which any confirmed window holds.
+
+    As long as some template's n-grams without an anchor could still make up
+    LEAST_OVERLAP of it, the word that most such templates share becomes one more.
+    """
+    notices = [words_of(n) for family in TEMPLATES.values() for n in family]
+    chosen: list[str] = []
+    while True:
+        open_ones = [words for words in notices if sum(not set(g.split()) & set(chosen) for g in grams(words)) >= LEAST_OVERLAP * len(grams(words))]
+        if not open_ones:
+            return tuple(sorted(chosen))
+        shared = Counter(w for words in open_ones for w in set(words) - set(chosen) - COMMON)
+        chosen.append(min(shared, key=lambda w: (-shared[w], -len(w), w)))
+
+
 def examples(draw: random.Random) -> list[tuple[list[str], int]]:
-    """Shortened and embedded templates of each family; unknown ones from loose words of all."""
+    """Shortened and embedded templates of each family; unknown ones from loose words of all and
+    from templates that lost the words by which their family is known."""
     filler = [w for line in ORDINARY for w in line.split()]
     pool = filler + [w for notices in TEMPLATES.values() for n in notices for w in words_of(n)]
-    made = []
+    families = Counter(w for notices in TEMPLATES.values() for w in {w for n in notices for w in words_of(n)})
+    made, bare = [], []
     for family, notices in enumerate(TEMPLATES.values()):
         for notice in notices:
+            stripped = [w for w in words_of(notice) if families[w] > 1]
+            whole = any(set(grams(stripped)) <= set(grams(words_of(n))) for notices in TEMPLATES.values() for n in notices)
+            bare += [stripped] if not whole else []  # a notice may be another's with a word more
             for copy in range(COPIES):
                 words = words_of(notice)
                 if copy and len(words) > 5:
                     words = [w for w in words if draw.random() > 0.05]
-                before, after = (draw.choices(filler, k=draw.randrange(12)) if copy > 3 else [] for _ in range(2))
+                before, after = (draw.choices(filler, k=draw.randrange(longest())) if copy > 3 else [] for _ in range(2))
                 made.append((before + words + after, family))
     known = len(made)
     for n in range(known):
-        if n % 3 == 0:
+        if n % 4 == 0:
             words = draw.choice(ORDINARY).split()
-        elif n % 3 == 1:
-            words = draw.choices(pool, k=draw.randrange(3, 15))
+        elif n % 4 == 1:
+            words = draw.choices(pool, k=draw.randrange(3, longest()))
+        elif n % 4 == 2:
+            words = draw.choices(filler, k=draw.randrange(3, 2 * longest()))
         else:
-            words = draw.choices(filler, k=draw.randrange(3, 25))
+            words = draw.choices(filler, k=draw.randrange(8)) + draw.choice(bare) + draw.choices(filler, k=draw.randrange(8))
         made.append((words, len(TEMPLATES)))
     draw.shuffle(made)
     return made
@@ -132,56 +168,82 @@ def fit() -> tuple[dict[str, list[float]], list[float], float]:
     return {g: w[i].round(6).tolist() for g, i in index.items()}, w[-1].round(6).tolist(), float(min(least, 0.9))
 
 
-def values(spark: SparkSession, rows: list[tuple], names: str) -> DataFrame:
-    """A small literal table."""
-    shown = ",".join("(" + ",".join(f"'{v}'" if isinstance(v, str) else f"{v}D" if isinstance(v, float) else str(v) for v in row) + ")"
-                     for row in rows)
-    return spark.sql(f"SELECT * FROM VALUES {shown} AS t({names})")
+def gram_table(spark: SparkSession) -> DataFrame:
+    """``gram, numbers``: millionths of its weight by family, then which templates hold it (0 or 1).
+
+    The empty n-gram, which every window holds, carries the biases.
+    """
+    weights, bias, _ = fit()
+    notices = [set(grams(words_of(n))) for family in TEMPLATES.values() for n in family]
+    rows = {"": [*bias, *[0] * len(notices)]}
+    for g in sorted(weights.keys() | set().union(*notices)):
+        rows[g] = [*weights.get(g, [0] * len(FAMILIES)), *(g in n for n in notices)]
+    shown = ",".join(f"('{g}','{','.join(str(round(v * 1e6) if i < len(FAMILIES) else int(v)) for i, v in enumerate(row))}')"
+                     for g, row in rows.items())
+    return spark.sql(f"SELECT gram, cast(split(numbers, ',') AS array<long>) AS numbers FROM VALUES {shown} AS t(gram, numbers)")
+
 
+def windows(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """``row, doc_id, place, start, grams`` of the windows that hold an anchor word.
 
-def paragraphs(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``row, doc_id, place, grams`` of the paragraphs (lines) that hold an anchor word."""
+    ``place`` numbers the paragraphs of a text and ``start`` the words of a paragraph.  A
+    word cut by a hyphen at the end of a line is read on in the next.
+    """
+    step = longest()
+    known = F.array(*[F.lit(w) for w in anchors()])
     rows = docs.select(F.monotonically_increasing_id().alias("row"), docs[key].cast("long").alias("doc_id"),
-                       docs[text].cast("string").alias("text")).where(F.col("text").rlike(ANCHOR))
-    lines = rows.select("row", "doc_id", F.posexplode(F.split("text", "\n")).alias("place", "line")).where(F.col("line").rlike(ANCHOR))
-    words = F.regexp_extract_all(F.lower("line"), F.lit(WORD), F.lit(0))
+                       F.lower(docs[text].cast("string")).alias("text")).where(
+        functools.reduce(operator.or_, [F.col("text").contains(w) for w in anchors()]))
+    parts = rows.select("row", "doc_id", F.posexplode(F.split("text", r"\n[^\p{L}\p{N}\n]*\n")).alias("place", "part"))
+    words = F.regexp_extract_all(F.regexp_replace("part", r"-[ \t\r]*\n[^\p{L}\p{N}\n]*", "-"), F.lit(WORD), F.lit(0))
+    parts = parts.select("row", "doc_id", "place", words.alias("words")).where(F.arrays_overlap("words", known))
+    last = F.greatest(F.ceil((F.size("words") - step) / step) - 1, F.lit(0)).cast("int")
+    cut = F.transform(F.sequence(F.lit(0), last), lambda k: F.slice("words", k * step + 1, 2 * step))
+    held = parts.select("row", "doc_id", "place", F.posexplode(cut).alias("k", "words")).where(F.arrays_overlap("words", known))
     pairs = F.transform(F.sequence(F.lit(1), F.greatest(F.size("words") - 1, F.lit(1))),
                         lambda i: F.concat_ws(" ", F.get("words", i - 1), F.get("words", i)))
-    return lines.withColumn("words", words).select("row", "doc_id", "place", F.array_distinct(F.concat("words", pairs)).alias("grams"))
+    return held.select("row", "doc_id", "place", (F.col("k") * step).cast("long").alias("start"),
+                       F.array_distinct(F.concat("words", pairs, F.array(F.lit("")))).alias("grams"))
 
 
 def scan_licenses(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``doc_id, place, family, probability, overlap, confirmed`` of paragraphs with an anchor word.
+    """``doc_id, place, family, start, probability, overlap, confirmed``: a row for each family in a paragraph.
+
+    Paragraphs with an anchor word are judged.  A window's family is unknown below the
+    calibrated probability or when no template of the family shares LEAST_OVERLAP of its
+    n-grams with it; ``confirmed`` tells whether one does.  A paragraph has one row for each
+    known family of its windows, with the most probable window (ties to the first), or one
+    unknown row.  ``start`` is the word the window begins at.
 
-    ``family`` is unknown below the calibrated probability or when no template of the
-    family shares LEAST_OVERLAP of its n-grams with the paragraph; ``confirmed`` tells
-    whether one does.  Null and empty texts have no paragraph; repeated rows are scanned
-    each; null keys stay null; other columns are ignored.
+    Null and empty texts have no paragraph; repeated rows are scanned each; null keys stay
+    null; very long texts are cut to windows in place; other columns are ignored, whatever
+    their names; empty tables give no rows.
     """
-    spark = docs.sparkSession
-    weights, bias, least = fit()
-    sparse = [(g, f, float(v)) for g, row in weights.items() for f, v in enumerate(row) if v]
-    templates = [(f, t, g, len(grams(words_of(n)))) for f, notices in enumerate(TEMPLATES.values())
-                 for t, n in enumerate(notices) for g in grams(words_of(n))]
-    found = stored(paragraphs(docs, text, key), "paragraphs")
-    terms = found.select("row", "doc_id", "place", F.explode("grams").alias("gram"))
-    sums = (terms.join(values(spark, sparse, "gram, family, weight"), "gram")
-            .groupBy("row", "place").pivot("family", list(range(len(FAMILIES)))).agg(F.sum("weight")))
-    scores = [F.coalesce(F.col(str(f)), F.lit(0.0)) + F.lit(bias[f]) for f in range(len(FAMILIES))]
-    joined = found.select("row", "doc_id", "place").join(sums, ["row", "place"], "left").select(
-        "row", "doc_id", "place", F.array(*scores).alias("z"))
-    top = joined.withColumn("p", F.transform("z", lambda v: F.exp(v - F.array_max("z")))).withColumn(
-        "p", F.transform("p", lambda v: v / F.aggregate("p", F.lit(0.0), lambda a, b: a + b)))
-    known = F.slice("p", 1, len(TEMPLATES))
-    top = top.select("row", "doc_id", "place", F.array_max(known).alias("probability"),
-                     (F.array_position(known, F.array_max(known)) - 1).cast("int").alias("guess"))
-    shared = (terms.join(values(spark, templates, "guess, template, gram, size"), "gram")
-              .groupBy("row", "place", "guess", "template").agg((F.count("*") / F.max("size")).alias("share"))
-              .groupBy("row", "place", "guess").agg(F.max("share").alias("overlap")))
-    names = F.array(*[F.lit(f) for f in FAMILIES])
-    made = top.join(shared, ["row", "place", "guess"], "left").withColumn("overlap", F.coalesce("overlap", F.lit(0.0)))
-    sure = (F.col("probability") >= least) & (F.col("overlap") >= LEAST_OVERLAP)
-    return made.select("doc_id", F.col("place").cast("long").alias("place"),
-                       F.when(sure, F.element_at(names, F.col("guess") + 1)).otherwise("unknown").alias("family"),
-                       F.round("probability", 6).alias("probability"), F.round("overlap", 6).alias("overlap"),
-                       (F.col("overlap") >= LEAST_OVERLAP).alias("confirmed"))
+    least = fit()[2]
+    several = [len(grams(words_of(n))) for family in TEMPLATES.values() for n in family]
+    owner = [f for f, family in enumerate(TEMPLATES.values()) for _ in family]
+    terms = windows(docs, text, key).select("row", "doc_id", "place", "start", F.explode("grams").alias("gram"))
+    summed = [F.sum(F.get("numbers", F.lit(i))).alias(f"n{i}") for i in range(len(FAMILIES) + len(several))]
+    sums = (terms.join(F.broadcast(gram_table(docs.sparkSession)), "gram")  # a few thousand rows, fixed by the templates
+            .groupBy("row", "doc_id", "place", "start").agg(*summed))
+    shares = [F.array_max(F.array(*[F.col(f"n{len(FAMILIES) + t}") / F.lit(several[t]) for t in range(len(several)) if owner[t] == f]))
+              for f in range(len(TEMPLATES))]
+    at = ["row", "doc_id", "place", "start"]
+    scored = sums.select(*at, F.array(*[F.col(f"n{f}") / F.lit(1e6) for f in range(len(FAMILIES))]).alias("z"), F.array(*shares).alias("shares"))
+    scored = scored.withColumn("p", F.transform("z", lambda v: F.exp(v - F.array_max("z"))))
+    scored = scored.select(*at, "shares", F.slice(F.transform("p", lambda v: v / F.aggregate("p", F.lit(0.0), lambda a, b: a + b)),
+                                                  1, len(TEMPLATES)).alias("known"))
+    judged = scored.select(*at, F.array_max("known").alias("probability"),
+                           F.array_position("known", F.array_max("known")).cast("int").alias("guess"), "shares")
+    judged = judged.select(*at, "probability", "guess", F.element_at("shares", F.col("guess")).alias("overlap"))
+    family = F.when((F.col("probability") >= least) & (F.col("overlap") >= LEAST_OVERLAP), F.col("guess")).otherwise(len(FAMILIES))
+    best = F.max(F.struct("probability", (-F.col("start")).alias("before"), "overlap"))
+    each = judged.withColumn("family", family).groupBy("row", "doc_id", "place").pivot("family", list(range(1, len(FAMILIES) + 1))).agg(best)
+    found = F.array(*[F.when(F.col(str(f)).isNotNull(), F.struct(F.lit(name).alias("family"), F.col(str(f)).alias("best")))
+                      for f, name in enumerate(FAMILIES, 1) if name != "unknown"])
+    unknown = F.array(F.struct(F.lit("unknown").alias("family"), F.col(str(len(FAMILIES))).alias("best")))
+    rows = each.withColumn("found", F.array_compact(found)).select(
+        "doc_id", "place", F.explode(F.when(F.size("found") > 0, F.col("found")).otherwise(unknown)).alias("one"))
+    return rows.select("doc_id", F.col("place").cast("long").alias("place"), "one.family", (-F.col("one.best.before")).alias("start"),
+                       F.round("one.best.probability", 6).alias("probability"), F.round("one.best.overlap", 6).alias("overlap"),
+                       (F.col("one.best.overlap") >= LEAST_OVERLAP).alias("confirmed"))

@@ -2,7 +2,10 @@
 
 import base64
 import hashlib
+import math
 import random
+import re
+import textwrap
 import zlib
 from collections import Counter
 
@@ -402,7 +405,7 @@ def test_toxic_phrases_and_all_forms_are_kept():
 
 
 def test_licences(spark, docs, none):
-    lines = ["Released under the MIT License.", "ab cd\nLicensed under the Apache License, Version 2.0.\nxx", "Licensed under CC BY-SA 4.0.",
+    lines = ["Released under the MIT License.", "ab cd\n\nLicensed under the Apache License, Version 2.0.\n \nxx", "Licensed under CC BY-SA 4.0.",
              "the driver must carry a valid license for the car", "This work is licensed under the GNU General Public License, version 3.", None, ""]
     table = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
     got = {(r.doc_id, r.place): r.family for r in licenses.scan_licenses(table).collect()}
@@ -410,6 +413,70 @@ def test_licences(spark, docs, none):
     assert licenses.scan_licenses(none).count() == 0 and licenses.scan_licenses(docs).count() == 0
 
 
+def test_licence_templates_however_wrapped(spark):
+    wanted = [(family, notice) for family, notices in licenses.TEMPLATES.items() for notice in notices]
+    forms = {"plain": str, "narrow": lambda n: textwrap.fill(n, 40), "comment": lambda n: textwrap.indent(textwrap.fill(n, 30), " * ").replace("\n", "\r\n"),
+             "inside": lambda n: f"{prose(1, 200)}\n{textwrap.fill(n, 25)}\n{prose(2, 200)}",
+             "apart": lambda n: f"{prose(1, 30)}\n//\n{n}\n//\n{prose(2, 30)}"}
+    rows = [(i * 10 + k, form(notice)) for i, (_, notice) in enumerate(wanted) for k, form in enumerate(forms.values())]
+    got = {}
+    for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        got.setdefault(r.doc_id, []).append((r.family, r.place))
+    missed = [(wanted[i // 10], list(forms)[i % 10], got.get(i)) for i, _ in rows if got.get(i) != [(wanted[i // 10][0], int(i % 10 == 4))]]
+    assert not missed
+
+
+# none of these sentences is a template or made from one by the fit
+SEEN = {"mit": ["This project is released under the terms of the MIT License, see the file named so.", "Code is licensed under the MIT license (c) 2019"],
+        "apache-2.0": ["Unless stated otherwise all code here is licensed under the Apache License, Version 2.0 (the License)",
+                       "Distributed and released under the Apache 2.0 license, without warranty"],
+        "gpl-3.0": ["the program is free: licensed under the GNU General Public License, version 3 or any later one"],
+        "cc-by-sa": ["Text and pictures licensed under CC BY-SA 4.0 unless noted"],
+        "bsd": ["Redistribution and use of it in source and binary forms, with or without modification, are permitted provided that"],
+        "unknown": ["Released under the Zorvian License.", "Licensed under the terms of our customer agreement, version 3.",
+                    "He was granted permission to obtain a copy of the key, free of charge.", "the driver lost her license in public",
+                    "All members of the club have rights, and seats are reserved for them.", "software released in binary forms without modification"]}
+
+
+def test_licences_of_other_sentences(spark):
+    rows = [(i, text, family) for i, (family, text) in enumerate((f, t) for f, texts in SEEN.items() for t in texts)]
+    got = {r.doc_id: r.family for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string, family string")).collect()}
+    assert {i: got.get(i, "unknown") for i, _, _ in rows} == {i: family for i, _, family in rows}
+
+
+def licences_by_hand(text: str) -> set:
+    """Families of a text, window by window, in plain Python."""
+    weights, bias, least = licenses.fit()
+    step, out = licenses.longest(), set()
+    for place, part in enumerate(re.split(r"\n[^\w\n]*\n", text.lower())):
+        words, found, judged = licenses.words_of(re.sub(r"-[ \t\r]*\n\W*", "-", part)), set(), False
+        for start in range(0, max(len(words) - step, 1), step):
+            part_words = words[start:start + 2 * step]
+            if not set(part_words) & set(licenses.anchors()):
+                continue
+            judged, held = True, set(licenses.grams(part_words))
+            z = [sum(round(weights[g][f] * 1e6) for g in held if g in weights) / 1e6 + bias[f] for f in range(len(licenses.FAMILIES))]
+            p = [math.exp(v - max(z)) for v in z]
+            guess = max(range(len(licenses.TEMPLATES)), key=lambda f: p[f])
+            templates = [set(licenses.grams(licenses.words_of(n))) for n in list(licenses.TEMPLATES.values())[guess]]
+            if p[guess] / sum(p) >= least and max(len(t & held) / len(t) for t in templates) >= licenses.LEAST_OVERLAP:
+                found.add(licenses.FAMILIES[guess])
+        out |= {(place, f) for f in found or ({"unknown"} if judged else set())}
+    return out
+
+
+def test_licences_against_brute_force(spark):
+    draw = random.Random(5)
+    notices = [n for family in licenses.TEMPLATES.values() for n in family]
+    texts = ["\n".join(draw.choice([draw.choice(notices), prose(draw.randrange(99), draw.randrange(1, 60)), "", " # ",
+                                    " ".join(draw.choices(draw.choice(notices).split(), k=9))]) for _ in range(draw.randrange(9))) for _ in range(150)]
+    texts += [(prose(3, 5000) + "\n" + notices[0] + " ") * 20, notices[3] * 2000, "file " * 50_000, *texts[:5], None, ""]
+    rows = [(i if i % 50 else None, t, "clash", "clash", 1) for i, t in enumerate(texts)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, row string, family string, place int")
+    got = sorted((r.doc_id or 0, r.place, r.family) for r in licenses.scan_licenses(frame).collect())
+    assert got == sorted((i if i % 50 else 0, place, f) for i, t in enumerate(texts) for place, f in licences_by_hand(t or ""))
+
+
 def test_native_plans_hold_no_python(spark, docs):
     for frame in (fingerprint.fingerprints(docs), sharding.shard_documents(docs, 4), licenses.scan_licenses(docs)):
         plan = frame._jdf.queryExecution().executedPlan().toString()
