@@ -18,6 +18,7 @@ from pyspark.sql.window import Window
 from postlake.session import scratch_path
 
 
+PATHS = 64 << 20  # characters of file paths that are broadcast; beyond, Spark chooses the join
 BATCH, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 2000
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -85,8 +86,9 @@ def numbered(df: DataFrame, row: str = "_row", name: str = "docs") -> DataFrame:
     files = sorted({r[0] for r in df.select(F.col("_metadata.file_path")).distinct().collect()})  # one a file
     path, file, index = (fresh(df, c) for c in ("_path", "_file", "_index"))
     places = df.sparkSession.createDataFrame([(name, i) for i, name in enumerate(files)], f"`{path}` string, `{file}` long")
+    places = F.broadcast(places) if sum(map(len, files)) <= PATHS else places  # one row a file
     return (df.select("*", F.col("_metadata.file_path").alias(path), F.col("_metadata.row_index").alias(index))
-            .join(F.broadcast(places), path)  # one row a file
+            .join(places, path)
             .withColumn(row, F.shiftleft(file, 40) + F.col(index)).drop(path, file, index))
 
 

@@ -14,6 +14,8 @@ into pairs of tree nodes whose greatest possible overlap can still link.
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pandas as pd
 import xxhash
@@ -31,8 +33,8 @@ FAN = 8  # children of an inner tree node
 BITS = 2048  # of a token bitmap
 NODES = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("row", T.LongType()),
                       T.StructField("n_shingles", T.LongType()), T.StructField("node", T.LongType())])
-PARTS = T.StructType([T.StructField("node", T.LongType()), T.StructField("spare", T.IntegerType()),
-                      T.StructField("parts", T.ArrayType(T.LongType()))])
+PARTS = T.StructType([T.StructField("node", T.LongType()), T.StructField("copies", T.LongType()),
+                      T.StructField("spare", T.IntegerType()), T.StructField("parts", T.ArrayType(T.LongType()))])
 SETS = T.StructType([T.StructField("node", T.LongType()), T.StructField("tokens", T.ArrayType(T.LongType())),
                      T.StructField("size", T.IntegerType()), T.StructField("bits", T.BinaryType())])
 
@@ -126,9 +128,11 @@ def nodes_of(docs: DataFrame, width: int) -> DataFrame:
 
 
 def part_rows(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """``node, copies, spare, part``; equal texts of a batch are one row with their number."""
     def work(texts):
-        nodes, spares, parts = [], [], []
-        texts = encoded(texts)
+        nodes, copies, spares, parts = [], [], [], []
+        number = Counter(encoded(texts))
+        texts = list(number)
         for lo, hi in chunks(texts):
             tokens, starts = shingle_sets(texts[lo:hi], width)
             made = parts_of(tokens, starts, percent)
@@ -136,11 +140,12 @@ def part_rows(docs: DataFrame, width: int, percent: int) -> DataFrame:
                 own = tokens[starts[i]:starts[i + 1]]
                 for spare, hashes in made[i]:
                     nodes.append(set_key(own))
+                    copies.append(number[texts[lo + i]])
                     spares.append(spare)
                     parts.append(hashes)
-        return {"node": nodes, "spare": spares, "parts": parts}
+        return {"node": nodes, "copies": copies, "spare": spares, "parts": parts}
 
-    return map_batches(docs.select("text"), work, PARTS).select("node", "spare", F.explode("parts").alias("part"))
+    return map_batches(docs.select("text"), work, PARTS).select("node", "copies", "spare", F.explode("parts").alias("part"))
 
 
 def meetings(parts: DataFrame) -> DataFrame:
@@ -153,7 +158,7 @@ def meetings(parts: DataFrame) -> DataFrame:
     whole = Window.partitionBy("part").orderBy("node").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     last = Window.partitionBy("node", "class").orderBy(F.desc("held"), "part")
     shared = (parts.withColumn("pivot", F.first("node").over(whole)).withColumn("end", F.last("node").over(whole))
-              .withColumn("held", F.count("*").over(whole)).where("pivot != end")
+              .withColumn("held", F.sum("copies").over(whole)).where("pivot != end")
               .groupBy("part", "node").agg(*[F.first(c).alias(c) for c in ("spare", "pivot", "held")]))
     return (shared.repartition("node").withColumn("class", F.col("part").bitwiseAND(1))
             .withColumn("place", F.row_number().over(last)).where("place > spare and pivot != node")
