@@ -361,7 +361,7 @@ def skill_mentions_join(spark, sf_dir):
 
 @query("raw_land", O.select(O.POSTS, "SELECT source_id, count(*) AS n FROM posts GROUP BY 1"))
 def raw_land(spark, sf_dir):
-    """Postings landed in their own JSON shapes, counted per source."""
-    raw = raw_posts(posts(spark, sf_dir))
-    good = landing.split_malformed(raw).good
-    return good.groupBy("source_id").agg(F.count(F.lit(1)).alias("n"))
+    """Postings landed in their own JSON shapes, and counted in the folder of each source."""
+    path = scratch_path(spark, "raw_land")
+    landing.append_raw(landing.split_malformed(raw_posts(posts(spark, sf_dir))).good, path, ("source_id",))
+    return spark.read.parquet(path).groupBy("source_id").agg(F.count(F.lit(1)).alias("n"))

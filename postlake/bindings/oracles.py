@@ -17,6 +17,18 @@ def case(index: str, values) -> str:
     return f"CASE {index} {arms} END"
 
 
+def named(column: str, labels, otherwise: str) -> str:
+    """The label of a value, from a vocabulary's pairs."""
+    arms = " ".join(f"WHEN {value!r} THEN '{label}'" for value, label in labels.items())
+    return f"CASE {column} {arms} ELSE '{otherwise}' END"
+
+
+def bracket(column: str, edges, labels) -> str:
+    """The label of the first edge that is not below the value, else the last label."""
+    arms = " ".join(f"WHEN {column} <= {edge} THEN '{label}'" for edge, label in zip(edges, labels))
+    return f"CASE {arms} ELSE '{labels[-1]}' END"
+
+
 def whole_words(text: str, terms) -> str:
     return f"regexp_matches(lower({text}), '\\b({'|'.join(terms)})\\b')"
 

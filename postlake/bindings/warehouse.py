@@ -6,8 +6,9 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
+from postlake import vocabulary as V
 from postlake.bindings import oracles as O
-from postlake.bindings.registry import query, seconds
+from postlake.bindings.registry import ORACLES, query, seconds
 from postlake.bindings.tables import AS_OF, bound, profiles, table
 from postlake.functions.time import moment
 from postlake.operators import merge, scd2
@@ -278,11 +279,8 @@ query("mart_posting_seasonality", O.select(O.DETAILS, f"""
     (NOT f.is_archived) AND (coalesce(x.is_fresher, false) OR coalesce(x.experience_level = 'FRESHER', false)) AS fresh
   FROM both_ f LEFT JOIN (SELECT posting_id, is_fresher, experience_level FROM details) x USING (posting_id)
 )
-SELECT role_family, CASE role_family WHEN 'DE' THEN 'Data Engineering' WHEN 'DA' THEN 'Data Analytics'
-    WHEN 'DS' THEN 'Data Science' WHEN 'SWE' THEN 'Software Engineering' WHEN 'BI' THEN 'Business Intelligence'
-    ELSE 'Other Tech' END AS domain_name,
-  CASE WHEN month(d) IN (12, 1, 2) THEN 'Winter' WHEN month(d) IN (3, 4, 5) THEN 'Spring'
-    WHEN month(d) IN (6, 7, 8) THEN 'Summer' ELSE 'Fall / Autumn' END AS season,
+SELECT role_family, {O.named("role_family", V.ROLE_LABELS, V.ROLE_LABEL_DEFAULT)} AS domain_name,
+  {O.named("month(d)", V.SEASONS, V.SEASON_DEFAULT)} AS season,
   'Q' || CAST(quarter(d) AS VARCHAR) AS quarter, CAST(year(d) AS INTEGER) AS posting_year,
   CAST(month(d) AS INTEGER) AS month_of_year, monthname(d) AS month_name, strftime(d, '%Y-%m') AS year_month,
   source_id, count(DISTINCT posting_id) AS posting_count,
@@ -311,12 +309,10 @@ query("mart_application_funnel", O.select(O.STAR, f"""
 SELECT *, {O.rounded("CAST(applications_count AS DOUBLE) * 100.0 / CAST(sum(applications_count) OVER (PARTITION BY application_month) AS DOUBLE)", 2)}
   AS percentage_of_month FROM c"""))(_mart("mart_application_funnel"))
 
-_BRACKET = ("CASE WHEN active_days <= 3 THEN '0-3 days' WHEN active_days <= 7 THEN '4-7 days' "
-            "WHEN active_days <= 14 THEN '8-14 days' WHEN active_days <= 30 THEN '15-30 days' ELSE '30+ days' END")
 query("mart_posting_longevity", O.select(O.FACTS, f"""
 , d AS (SELECT f.*, CAST(date_diff('day', CAST(first_seen_at AS DATE), CAST(last_seen_at AS DATE)) AS INTEGER)
     AS active_days FROM both_ f JOIN companies c USING (company_id))
-SELECT role_family, source_id, {_BRACKET} AS longevity_bracket, count(DISTINCT posting_id) AS postings_count,
+SELECT role_family, source_id, {O.bracket("active_days", V.LONGEVITY_EDGES, V.LONGEVITY_LABELS)} AS longevity_bracket, count(DISTINCT posting_id) AS postings_count,
   {O.rounded("avg(active_days)", 1)} AS avg_active_days, max(active_days) AS max_active_days
 FROM d GROUP BY 1, 2, 3"""))(_mart("mart_posting_longevity"))
 
@@ -326,6 +322,17 @@ query("mart_job_match", O.select(O.DEFAULT_MATCH, _MATCH_SELECT))(
     _mart("mart_job_match", ("first_seen_at", "last_seen_at")))
 
 
+@query("mart_publish", " UNION ALL ".join(
+    f"SELECT '{name}' AS view_name, count(*) AS n FROM ({ORACLES[name]})" for name in sorted(marts.MARTS)))
+def mart_publish(spark, sf_dir):
+    """Every mart published as a view, and its rows counted through the view."""
+    rows = None
+    for name in marts.publish(bound(spark, sf_dir).star(), AS_OF):
+        counted = spark.table(name).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("view_name"), "n")
+        rows = counted if rows is None else rows.unionByName(counted)
+    return rows
+
+
 def _match_for(spark, sf_dir, skills_only=False, **profile):
     star = bound(spark, sf_dir).star()
     star = star.replace(profiles=profile_row(spark, AS_OF, **profile))
@@ -422,7 +429,7 @@ WITH d AS (SELECT o_orderkey, o_orderpriority,
     CAST(date_diff('day', CAST(o_orderdate AS DATE), CAST(last_ship AS DATE)) AS INTEGER) AS active_days
   FROM orders JOIN (SELECT l_orderkey, max(l_shipdate) AS last_ship FROM lineitem GROUP BY 1) s
     ON l_orderkey = o_orderkey)
-SELECT o_orderpriority, {_BRACKET} AS longevity_bracket, count(DISTINCT o_orderkey) AS postings_count,
+SELECT o_orderpriority, {O.bracket("active_days", V.LONGEVITY_EDGES, V.LONGEVITY_LABELS)} AS longevity_bracket, count(DISTINCT o_orderkey) AS postings_count,
   {O.rounded("avg(active_days)", 1)} AS avg_active_days, max(active_days) AS max_active_days
 FROM d GROUP BY 1, 2""")
 def longevity_orders(spark, sf_dir):
