@@ -9,6 +9,7 @@ from postlake import vocabulary as V
 from postlake.functions.time import moment
 from postlake.operators import dedup, dims, lifecycle, merge, quality, runlog, scd2, tagging, tracking
 from postlake.operators.profiles import current_profile, parse, profile_row
+from postlake.session import scratch_path
 from postlake.sources import archive, schemas
 
 AS_OF = date(2024, 1, 10)
@@ -363,3 +364,20 @@ def test_notes_added_edited_and_deleted_in_one_batch(spark):
     got = tracking.apply_notes(changes.limit(0).drop("op"), changes).collect()
     assert sorted((r.note_id, r.posting_id, r.note, r.created_at) for r in got) == [
         ("a", "p", "second", at[0]), ("d", "q", "kept", at[2])]
+
+
+def test_spans_are_never_the_broadcast_side(spark, rows, monkeypatch):
+    """A small file of texts has many spans; the plan goes by the dictionary's measured size."""
+    path = scratch_path(spark, "texts")
+    spark.range(2000).select("id", F.concat(F.lit("plain words and sql "), F.col("id").cast("string")).alias("text")).write.parquet(path)
+    texts, dictionary = spark.read.parquet(path), spark.createDataFrame([("SQL",), ("words and",), ("",), (None,)], "term string")
+
+    def plan_and_rows():
+        pairs = tagging.tag_by_join(texts, "id", F.col("text"), dictionary)
+        return pairs._jdf.queryExecution().sparkPlan().toString(), rows(pairs)
+
+    small, found = plan_and_rows()
+    assert "BroadcastHashJoin" in small and "BuildRight" in small and len(found) == 4000
+    monkeypatch.setattr(tagging, "SMALL_DICTIONARY", 0)
+    large, same = plan_and_rows()
+    assert "SortMergeJoin" in large and "Broadcast" not in large and same == found
