@@ -194,3 +194,20 @@ def test_archived_rows_without_a_cold_copy_are_encoded_once(spark):
     purge = lifecycle.archive_split(facts, past, *[schemas.empty(spark, n) for n in ("dim_company", "dim_location", "job_posting_detail", "fact_posting_skill_mention")], known, START)
     assert [(r.posting_id, r.last_seen_at[:10]) for r in purge.encoded.collect()] == [("a", "2024-01-10")]
     assert purge.counts.first().asDict() == {"encoded_count": 1, "purged_count": 2, "total_archived_offline": 2}
+
+
+def test_dedup_reads_its_input_once(spark):
+    """Every row is judged by a function that counts its calls."""
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(text):
+        calls.add(1)
+        return text
+
+    base = {c.split(" ")[0]: None for c in schemas.TABLES["staging_postings_normalized"].split(", ")}
+    made = [tuple({**base, "posting_id": f"p{i % 7}", "dedup_key": f"k{i % 7}", "job_title": "t", "is_incomplete": False,
+                   "seen_at": datetime(2024, 1, 1, i % 24)}.values()) for i in range(40)]
+    df = spark.createDataFrame(made, schemas.TABLES["staging_postings_normalized"]).withColumn("job_title", counted("job_title"))
+    assert dedup.deduplicate(df).count() == 7
+    assert calls.value == 40
