@@ -254,3 +254,19 @@ def test_a_broken_stage_is_logged_as_failed(spark):
 def test_vocabulary_is_whole():
     assert len(V.SKILLS) == 52 and len(set(V.SKILLS)) == 52 and len(V.COUNTRIES) == 20
     assert abs(sum(V.MATCH_WEIGHTS.values()) - 1.0) < 1e-9
+
+
+def test_queries_bound_what_a_task_reads_but_keep_smaller_settings(spark):
+    from postlake.session import TASK_BYTES, small_tasks
+
+    files, shuffled = TASK_BYTES
+    try:
+        spark.conf.set(files, "128MB")
+        spark.conf.set(shuffled, "8m")
+        small_tasks(spark)
+        assert spark.conf.get(files) == str(32 << 20) and spark.conf.get(shuffled) == "8m"
+        spark.conf.unset(files), spark.conf.unset(shuffled)
+        bound(spark, SF)
+        assert spark.conf.get(files) == str(32 << 20) and spark.conf.get(shuffled) == str(16 << 20)
+    finally:
+        spark.conf.unset(files), spark.conf.unset(shuffled)
