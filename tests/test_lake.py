@@ -211,3 +211,40 @@ def test_dedup_reads_its_input_once(spark):
     df = spark.createDataFrame(made, schemas.TABLES["staging_postings_normalized"]).withColumn("job_title", counted("job_title"))
     assert dedup.deduplicate(df).count() == 7
     assert calls.value == 40
+
+
+def test_a_rewrite_computes_the_change_once(spark):
+    large = Lake(spark, scratch_path(spark, "once"), buckets=4).large
+    names = schemas.columns("fact_posting_skill_mention")
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(value):
+        calls.add(1)
+        return value
+
+    rows = spark.createDataFrame([(f"p-{i % 20}", f"s-{i}") for i in range(40)], "posting_id string, skill_id string")
+    made = rows.select(counted("posting_id").alias("posting_id"), "skill_id").select(*names)
+    large.rewrite("fact_posting_skill_mention", range(4), lambda old: old.unionByName(made))
+    assert calls.value == 40 and large.read("fact_posting_skill_mention").count() == 40
+    large.rewrite("fact_posting_skill_mention", [0, 1], lambda old: old.limit(0))  # emptied partitions go, others stay
+    kept = {c for c in large.children(large.path("fact_posting_skill_mention")) if "=" in c}
+    assert kept <= {"bucket_of_4=2", "bucket_of_4=3"} and large.exists("fact_posting_skill_mention")
+    large.rewrite("fact_posting_skill_mention", [0, 1, 2, 3], lambda old: old.filter("posting_id = 'none'"))
+    assert not large.exists("fact_posting_skill_mention") and large.read("fact_posting_skill_mention").count() == 0
+
+
+def test_attempts_are_counted_once(spark):
+    lake = Lake(spark, scratch_path(spark, "attempts"), buckets=4)
+    lake.setup(START)
+    land(spark, lake, "greenhouse", START, job(1))
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("boolean")
+    def counted(ok):
+        calls.add(1)
+        return ok
+
+    tried = attempts(spark, START, greenhouse=True).withColumn("ok", counted("ok"))
+    assert lake.refresh("run-1", tried, START) == "SUCCESS"
+    assert calls.value <= 2  # once for the boards that did well and at most once for the others
