@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postlake.llm.common import fresh, map_batches, numbered, shipped, stored
+from postlake.llm.common import forget, fresh, map_batches, numbered, shipped, stored, tracked
 from postlake.llm.neardup import chunks
 from postlake.llm.shingles import mixed, word_hashes
 
@@ -115,15 +115,16 @@ def repeats(docs: DataFrame, words: int) -> DataFrame:
                 "lo": lo.astype(np.int32), "hi": hi.astype(np.int32)}
 
     # Tables of one row per key are written before the join by that key, which Spark can then split where the key is common.
-    found = stored(map_batches(docs.select("row", "doc_id", "text"), read, ANCHORS), "anchors")
-    shared = stored(found.groupBy("print").agg(F.count("*").alias("n")).where("n > 1").select("print"), "shared")
-    hits = stored(found.join(shared, "print"), "hits")
-
-    order = F.struct(F.col("doc_id").isNotNull().alias("named"), "doc_id", "row", F.col("lo").alias("at"))
-    first = stored(hits.groupBy("content").agg(F.min(order).alias("first")).select(
-        "content", F.col("first.row").alias("first_row"), F.col("first.at").alias("first_at")), "first")
+    with tracked() as made:
+        found = stored(map_batches(docs.select("row", "doc_id", "text"), read, ANCHORS), "anchors")
+        shared = stored(found.groupBy("print").agg(F.count("*").alias("n")).where("n > 1").select("print"), "shared")
+        hits = stored(found.join(shared, "print"), "hits")
+        order = F.struct(F.col("doc_id").isNotNull().alias("named"), "doc_id", "row", F.col("lo").alias("at"))
+        first = stored(hits.groupBy("content").agg(F.min(order).alias("first")).select(
+            "content", F.col("first.row").alias("first_row"), F.col("first.at").alias("first_at")), "first")
     marked = stored(hits.join(first, "content").select("row", "doc_id", "print", "lo", "hi", (
         (F.col("row") != F.col("first_row")) | (F.col("lo") >= F.col("first_at") + words)).alias("later")), "marked")
+    forget(docs.sparkSession, made)  # all that is read of them from here on is in ``marked``
     whole = marked.where("later").select("row", F.col("lo").alias("first"), (F.col("hi") + words - 1).alias("last"))
 
     edges = marked.where("not later").select("row", "print", "lo", "hi")

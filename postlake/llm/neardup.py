@@ -7,7 +7,8 @@ Linked sets have more equal parts than just one, so each set leaves out as many
 frequent parts as it can spare: the rarest equal part is then still there in both, and a
 passage that very many documents hold makes few of them meet.
 Meetings are verified on whole sets; nodes that are not linked to a pivot they met are
-compared with the others that met it by signature trees: leaves of some dozen nodes carry
+compared with the others that met it, but for those with too many tokens that none of the others
+has, by signature trees: leaves of some dozen nodes carry
 the OR of their token bitmaps and their range of sizes, and a dual traversal goes down only
 into pairs of tree nodes whose greatest possible overlap can still link.
 """
@@ -31,6 +32,7 @@ from postlake.llm.shingles import mixed, shingle_sets
 LEAF = 64  # nodes of a tree leaf
 FAN = 8  # children of an inner tree node
 BITS = 2048  # of a token bitmap
+KINDS = 8  # of nodes by their share of lone tokens, from none to the largest that can link
 NODES = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("row", T.LongType()),
                       T.StructField("n_shingles", T.LongType()), T.StructField("node", T.LongType())])
 PARTS = T.StructType([T.StructField("node", T.LongType()), T.StructField("copies", T.LongType()),
@@ -257,6 +259,20 @@ def dual(left: Tree, right: Tree, percent: int):
             todo += [(i, a, j - 1, c) for c in range(b * right.group, min((b + 1) * right.group, len(right.levels[j - 1])))]
 
 
+def lone_tokens(stars: DataFrame, sets: DataFrame) -> DataFrame:
+    """``node, size, bits, lone`` of the nodes of stars: how many of its tokens no other of these nodes has."""
+    own = sets.join(stars.select("node").distinct(), "node")
+    tokens = own.select("node", F.explode("tokens").alias("token"))
+    lone = (tokens.groupBy("token").agg(F.count("*").alias("n"), F.first("node").alias("node")).where("n = 1")
+            .groupBy("node").agg(F.count("*").alias("lone")))
+    return own.select("node", "size", "bits").join(lone, "node", "left").withColumn("lone", F.coalesce("lone", F.lit(0)))
+
+
+def lone_may_link(percent: int, shared, lone):
+    """Whether sets that share ``shared`` tokens at most and have ``lone`` ones together can link."""
+    return (100 - percent) * shared >= percent * lone
+
+
 def tree_pairs(stars: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs that may link among nodes that met the same pivot but lie in different components.
 
@@ -265,20 +281,31 @@ def tree_pairs(stars: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     share.  Pairs of leaves that can link, but for two of one component, meet in a task of
     their own, at most LEAF against LEAF nodes, and are traversed there.
     Only bitmaps and sizes travel; the pairs that are left are verified on whole sets.
+
+    A token that no other node of ``stars`` has is in no intersection and in every union of its
+    node: nodes with too many of them link with nothing here and are left out, and of large
+    stars the rest is dealt by its share of them, so that leaves with too many together do not meet.
     """
     shipped(stars.sparkSession)
     level = F.floor(F.log("size") / F.log(F.lit(100 / percent))).cast("long")
-    sized = stars.join(sets.select("node", "size", "bits"), "node").withColumn("level", level)
+    kind = F.least(F.lit(KINDS - 1), F.floor(KINDS * 100 * F.col("lone") / ((100 - percent) * F.col("size")))).cast("int")
+    known = lone_tokens(stars, sets).where(lone_may_link(percent, F.col("size") - F.col("lone"), F.col("lone")))
+    sized = stars.join(known, "node").withColumn("level", level)
+    crowded = (sized.groupBy("pivot", "level").agg(F.count("*").alias("n")).where(F.col("n") >= 2 * LEAF)
+               .select("pivot", "level", F.lit(True).alias("crowded")))
+    sized = sized.join(crowded, ["pivot", "level"], "left").withColumn("kind", F.when(F.col("crowded"), kind))
     large = (sized.groupBy("pivot", "level", "component").agg(F.count("*").alias("n")).where(F.col("n") >= LEAF)
              .select("pivot", "level", "component", F.col("component").alias("pure")))
     grouped = sized.join(large, ["pivot", "level", "component"], "left")
-    leaves = stored(ranked(grouped, F.struct("pivot", "level", "pure"), ["node"], "place")
-                    .withColumn("leaf", F.xxhash64("level", "pure", (F.col("place") / LEAF).cast("long"))), "leaves")
-    heads = leaves.groupBy("pivot", "leaf").agg(F.first("pure").alias("pure"), F.min("size").alias("least"), F.max("size").alias("most"))
-    other = heads.select("pivot", *[F.col(c).alias(f"{c}_2") for c in ("leaf", "pure", "least", "most")])
+    leaves = stored(ranked(grouped, F.struct("pivot", "level", "pure", "kind"), ["node"], "place")
+                    .withColumn("leaf", F.xxhash64("level", "pure", "kind", (F.col("place") / LEAF).cast("long"))), "leaves")
+    heads = leaves.groupBy("pivot", "leaf").agg(F.first("pure").alias("pure"), F.min("size").alias("least"), F.max("size").alias("most"),
+                                                F.min("lone").alias("lone"), F.max(F.col("size") - F.col("lone")).alias("shared"))
+    other = heads.select("pivot", *[F.col(c).alias(f"{c}_2") for c in ("leaf", "pure", "least", "most", "lone", "shared")])
     pairs = stored(heads.join(other, "pivot").where(
         (F.col("leaf") <= F.col("leaf_2")) & (100 * F.col("most") >= percent * F.col("least_2"))
         & (100 * F.col("most_2") >= percent * F.col("least"))
+        & lone_may_link(percent, F.least("shared", "shared_2"), F.col("lone") + F.col("lone_2"))
         & F.coalesce(F.col("pure") != F.col("pure_2"), F.lit(True))).select("pivot", "leaf", "leaf_2"), "pairs")
     a = pairs.join(leaves.select("pivot", "leaf", "node", "component", "size", "bits"), ["pivot", "leaf"])
     b = pairs.join(leaves.select("pivot", F.col("leaf").alias("leaf_2"), "node", "component", "size", "bits"), ["pivot", "leaf_2"])
@@ -300,6 +327,24 @@ def tree_pairs(stars: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return sides.groupBy("pivot", "leaf", "leaf_2").applyInPandas(match, "a long, b long").distinct()
 
 
+def labelled(met: DataFrame, joined: DataFrame) -> DataFrame:
+    """Meetings with the components ``of_a, of_b`` of both nodes."""
+    def name(side):
+        return joined.select(F.col("node").alias(side), F.col("component").alias(f"of_{side}"))
+
+    return (met.select("a", "b").join(name("a"), "a", "left").join(name("b"), "b", "left")
+            .withColumn("of_a", F.coalesce("of_a", "a")).withColumn("of_b", F.coalesce("of_b", "b")))
+
+
+def open_stars(met: DataFrame, joined: DataFrame) -> DataFrame:
+    """``pivot, node, component`` of pivots that met nodes of several components, not all in their own."""
+    marked = stored(labelled(met, joined), "marked")
+    unsettled = marked.where("of_a != of_b").select("a").distinct()
+    stars = marked.join(unsettled, "a", "left_semi").select(F.col("a").alias("pivot"), F.col("b").alias("node"), F.col("of_b").alias("component"))
+    several = stars.groupBy("pivot").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least != most")
+    return stars.join(several.select("pivot"), "pivot", "left_semi")
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, text: str = "text", key: str = "doc_id",
                     row: str | None = None) -> DataFrame:
     """``found_components`` without the internal ``component``."""
@@ -329,25 +374,13 @@ def found_components(docs: DataFrame, width: int = 5, percent: int = 80, text: s
     # first the pivot each node met most often, then what is left between components
     likely = met.groupBy("b").agg(F.max_by("a", F.struct("times", "a")).alias("a"))
     links = stored(verified(likely.select("a", "b"), sets, percent), "links")
-    for last in (False, True):
-        joined = components(links)
-        name = lambda side: joined.select(F.col("node").alias(side), F.col("component").alias(f"of_{side}"))
-        marked = (met.select("a", "b").join(name("a"), "a", "left").join(name("b"), "b", "left")
-                  .withColumn("of_a", F.coalesce("of_a", "a")).withColumn("of_b", F.coalesce("of_b", "b")))
-        if not last:
-            rest = marked.where("of_a != of_b").select("a", "b").join(likely.select("a", "b"), ["a", "b"], "left_anti")
-            links = stored(links.union(verified(rest, sets, percent)), "links")
-        else:
-            marked = stored(marked, "marked")
-            unsettled = marked.where("of_a != of_b").select("a").distinct()
-            open_stars = marked.join(unsettled, "a", "left_semi")
-            stars = open_stars.select(F.col("a").alias("pivot"), F.col("b").alias("node"), F.col("of_b").alias("component"))
-            several = stars.groupBy("pivot").agg(F.countDistinct("component").alias("n")).where("n > 1").select("pivot")
-            maybe = stored(tree_pairs(stars.join(several, "pivot", "left_semi"), sets, percent), "maybe")
-            found = stored(verified(maybe, sets, percent), "found")
-            if found.head(1):
-                links = stored(links.union(found), "links")
-                joined = components(links)
+    rest = labelled(met, components(links)).where("of_a != of_b").select("a", "b").join(likely.select("a", "b"), ["a", "b"], "left_anti")
+    links = stored(links.union(verified(rest, sets, percent)), "links")
+    joined = components(links)
+    maybe = stored(tree_pairs(open_stars(met, joined), sets, percent), "maybe")
+    found = stored(verified(maybe, sets, percent), "found")
+    if found.head(1):
+        joined = components(stored(links.union(found), "links"))
     named = nodes.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("least"))
     return named.join(least, "component", "left").select("row", "doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"), "component")

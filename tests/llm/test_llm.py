@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import math
+import os
 import random
 import re
 import textwrap
@@ -228,6 +229,38 @@ def test_trees_lose_no_link():
     assert linked <= pairs and len(pairs) < len(sets) ** 2 / 4
 
 
+@pytest.mark.parametrize("lone,some", [((30, 31), False), ((0, 1, 2, 3, 4, 9, 12), True)])
+def test_leaves_that_cannot_link_do_not_meet(spark, monkeypatch, lone, some):
+    # near copies of one text that met one pivot: own tokens in place of as many common ones
+    core, sets = list(range(1, 101)), {}
+    for node in range(1, 261):
+        n = lone[node % len(lone)]
+        sets[node] = sorted(core[:len(core) - n] + [1000 * node + i for i in range(n)])
+    rows = [(n, t, len(t), bytearray(np.packbits(neardup.bitmap(np.array(t))).tobytes())) for n, t in sets.items()]
+    table = spark.createDataFrame(rows, neardup.SETS)
+    stars = spark.createDataFrame([(0, n, n) for n in sets], "pivot long, node long, component long")
+    written, plain = {}, neardup.stored
+
+    def kept(df, name):
+        written[name] = plain(df, name)
+        return written[name]
+
+    monkeypatch.setattr(neardup, "stored", kept)
+    got = {(r.a, r.b) for r in neardup.tree_pairs(stars, table, 80).collect()}
+    linked = {(a, b) for a in sets for b in sets if a < b
+              and 100 * len(set(sets[a]) & set(sets[b])) >= 80 * len(set(sets[a]) | set(sets[b]))}
+    assert linked <= got and bool(linked) == some
+    assert some or written["pairs"].count() == 0
+
+
+def test_lines_leave_no_scratch_that_is_read_no_more(spark, docs):
+    from postlake.llm.common import tracked
+    with tracked() as made:
+        linededup.without_repeats(docs)
+    left = {os.path.basename(p).rsplit("-", 1)[0] for p in made if os.path.isdir(p.removeprefix("file:"))}
+    assert "marked" in left and not left & {"anchors", "shared", "hits"}
+
+
 def test_row_numbers_do_not_depend_on_splits(spark, docs, tmp_path):
     from postlake.llm import common
     folder = str(tmp_path / "many")
