@@ -5,11 +5,13 @@ import os
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
+from postlake.bindings import lakes
 from postlake.operators import dedup, lifecycle
 from postlake.plans.refresh import Lake
-from postlake.session import scratch_path
+from postlake.session import compiled_methods, scratch_path
 from postlake.sources import archive, landing, schemas
 
 START = datetime(2024, 1, 10)
@@ -248,3 +250,26 @@ def test_attempts_are_counted_once(spark):
     tried = attempts(spark, START, greenhouse=True).withColumn("ok", counted("ok"))
     assert lake.refresh("run-1", tried, START) == "SUCCESS"
     assert calls.value <= 2  # once for the boards that did well and at most once for the others
+
+
+def test_balance_tells_postings_by_their_own_id(spark, tmp_path):
+    """A company whose name looks like another posting's address spoils nothing."""
+    when = "timestamp_ntz'1995-01-01 00:00:00' AS o_orderdate"
+    spark.sql(f"SELECT id AS o_orderkey, 1L AS o_custkey, {when}, 10.0D AS o_totalprice FROM VALUES 5L, 10L, 101L, 103L, 107L, -15L AS t(id)").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.sql("SELECT 1L AS c_custkey, 'a.example/101' AS c_name, 0 AS c_nationkey").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.sql("SELECT 0 AS n_nationkey, 'PERU' AS n_name").write.parquet(f"{tmp_path}/nation.parquet")
+    found = {(r["source_id"], r["outcome"]): r["n"] for r in lakes.refresh_balance(spark, str(tmp_path)).collect()}
+    assert found == {("adzuna", "good"): 6, ("greenhouse", "PARSE_ERROR"): 2, ("rippling", "MISSING_ID"): 2, ("elsewhere", "UNKNOWN_SOURCE"): 2}
+
+
+def test_landing_runs_only_methods_that_are_compiled(spark, tmp_path, monkeypatch):
+    """While landed rows are written, a method too long for HotSpot to compile is not used; after that the setting is as before."""
+    name, seen, write = "spark.sql.codegen.hugeMethodLimit", [], DataFrameWriter.parquet
+    before = spark.conf.get(name)
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path: (seen.append(spark.conf.get(name)), write(self, path))[1])
+    raw = spark.sql("SELECT '{}' AS payload, 'lever' AS source_id, 'r' AS run_id, timestamp'1992-01-01 00:00:00' AS ingested_at")
+    assert landing.append_raw(raw, f"{tmp_path}/raw") == 1
+    assert seen == ["8000"] and spark.conf.get(name) == before
+    with pytest.raises(ZeroDivisionError), compiled_methods(spark):
+        raise ZeroDivisionError
+    assert spark.conf.get(name) == before
